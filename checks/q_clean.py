@@ -207,7 +207,7 @@ def encode_wide_labels(spark, sf):
     """Rank encoding of a column with as many values as rows (range partitioned route)."""
     from vitrine.operators.ordering import value_codes
     df = products(spark, sf).select("product_id", "url")
-    codes = value_codes(df, "url", small=100)
+    codes = value_codes(df, ["url"], small=100)
     return df.join(codes, df["url"] == codes["value"]).select("product_id", F.col("code").alias("url_code"))
 
 
@@ -253,7 +253,7 @@ SELECT product_id, {np_round(_mm('r'), 6)} AS reviews_n, {np_round('1e0 - ' + _m
 def scale_log_minmax(spark, sf):
     df = products(spark, sf)
     scaled = MinMax(df, {"r": F.log1p(F.col("nb_reviews").cast("double")), "p": F.col("prix")})
-    return df.select("product_id", half_even(scaled["r"], 6).alias("reviews_n"),
+    return scaled.frame.select("product_id", half_even(scaled["r"], 6).alias("reviews_n"),
                      half_even(F.lit(1.0) - scaled["p"], 6).alias("prix_inv_n"))
 
 

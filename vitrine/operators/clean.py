@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.numeric import clip, numeric_column, truncate_int
-from .ordering import quantile_record
+from .ordering import filled_quantile_record, median_record, quantile_record, value_ranks
+from .scaling import attach
 
 # Columns imputed with the median / with "Inconnu".
 MEDIAN_COLUMNS = ["prix", "prix_promo", "rating", "nb_reviews", "quantite_stock", "delai_livraison_j"]
@@ -64,7 +65,8 @@ def impute_median(df: DataFrame, columns: list[str]) -> DataFrame:
     if not present:
         return df
     medians = quantile_record(df, {c: (c, 0.5) for c in present})
-    return df.withColumns({c: F.coalesce(F.col(c), medians.getField(c)) for c in present})
+    return attach(df, medians, "medians__").withColumns(
+        {c: F.coalesce(F.col(c), F.col("medians__")[c]) for c in present}).drop("medians__")
 
 
 def impute_constant(df: DataFrame, columns: list[str], value) -> DataFrame:
@@ -74,7 +76,9 @@ def impute_constant(df: DataFrame, columns: list[str], value) -> DataFrame:
 def winsorize(df: DataFrame, column: str = "prix", low: float = 0.01, high: float = 0.99) -> DataFrame:
     """Clip a column at two of its own exact quantiles."""
     edges = quantile_record(df, {"low": (column, low), "high": (column, high)})
-    return df.withColumn(column, clip(F.col(column), edges.getField("low"), edges.getField("high")))
+    edge = F.col("edges__")
+    clipped = attach(df, edges, "edges__").withColumn(column, clip(F.col(column), edge["low"], edge["high"]))
+    return clipped.drop("edges__")
 
 
 def clip_ranges(df: DataFrame, bounds: dict[str, tuple[float | None, float | None]]) -> DataFrame:
@@ -87,15 +91,22 @@ def clip_ranges(df: DataFrame, bounds: dict[str, tuple[float | None, float | Non
 def clean_products(df: DataFrame, order: list[str]) -> DataFrame:
     """Dedup, coerce, impute, winsorise the price, clip ratings and reviews.
 
-    The price quantiles are those of the *imputed* price. They are derived from
-    the same ordering pass as the medians: imputation only adds copies of the
-    median, so nothing has to be cleaned twice.
+    The price is clipped at quantiles of the *imputed* price. Medians and those
+    quantiles come from one ordering pass; the rest is a single projection.
     """
-    unique = keep_first(df, ["product_id"], order)
-    numeric = coerce_numeric(unique, MEDIAN_COLUMNS)
-    imputed = impute_median(numeric, MEDIAN_COLUMNS)
-    labelled = impute_constant(imputed, LABEL_COLUMNS, UNKNOWN)
-    return clip_ranges(winsorize(labelled), {"rating": (0, 5), "nb_reviews": (0, None)})
+    numeric = coerce_numeric(keep_first(df, ["product_id"], order), MEDIAN_COLUMNS)
+    present = [c for c in MEDIAN_COLUMNS if c in numeric.columns]
+    ranks = value_ranks(numeric, present)
+    medians = median_record(ranks, present)
+    edges = filled_quantile_record(ranks, "prix", {"low": 0.01, "high": 0.99}, medians.getField("prix"))
+    median, edge = F.col("medians__"), F.col("edges__")
+    filled = {c: F.coalesce(F.col(c), median[c]) for c in present}
+    filled["prix"] = clip(filled["prix"], edge["low"], edge["high"])
+    filled["rating"] = clip(filled["rating"], 0.0, 5.0)
+    filled["nb_reviews"] = clip(filled["nb_reviews"], 0.0)
+    known = attach(attach(numeric, medians, "medians__"), edges, "edges__")
+    cleaned = known.withColumns(filled).drop("medians__", "edges__")
+    return impute_constant(cleaned, LABEL_COLUMNS, UNKNOWN)
 
 
 def clean_consolidated(df: DataFrame, order: list[str]) -> DataFrame:

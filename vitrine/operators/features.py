@@ -28,11 +28,14 @@ def encode_labels(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
     A missing value is the literal class ``nan``, as text conversion makes it.
     """
-    for column in [c for c in (columns or ENCODED) if c in df.columns]:
-        text = F.coalesce(F.col(column).cast("string"), F.lit(MISSING_LABEL))
-        keyed = df.withColumn("value", text)
-        codes = value_codes(keyed, "value").withColumnRenamed("code", f"{column}_enc")
-        df = keyed.join(codes, "value", "left").drop("value")
+    present = [c for c in (columns or ENCODED) if c in df.columns]
+    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING_LABEL)) for c in present}
+    codes = value_codes(df.select(*[text.alias(c) for c, text in texts.items()]), present)
+    for column, text in texts.items():
+        one = codes.where(F.col("column") == column).select(
+            F.col("value").alias("label__"), F.col("code").alias(f"{column}_enc"))
+        df = df.withColumn("text__", text).join(one, F.col("text__") == F.col("label__"), "left")
+        df = df.drop("text__", "label__")
     return df
 
 

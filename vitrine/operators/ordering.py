@@ -62,22 +62,30 @@ def row_positions(df: DataFrame, by: list[str], order: list[str], name: str) ->
                          F.col("pos_all").alias(f"{name}_of"))
 
 
-def quantiles(df: DataFrame, columns: list[str], probs: list[float],
-              by: list[str] | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation, long form.
+def value_ranks(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """Rank interval of every distinct value of every column, in one pass.
 
-    Columns: ``by``..., ``column``, ``prob``, ``value``. All columns share one
-    pass; equal values collapse in the map-side partial aggregate.
+    Long form: ``by``..., ``column``, ``value``, ``n_before``, ``n_upto`` (the
+    half-open 0-based rank interval), ``n_all`` rows and ``m_all`` missing ones.
+    Equal values collapse in the map-side partial aggregate; missing values
+    sort last and are only counted.
     """
     by = by or []
     cells = df.select(*by, F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns
-    ])).alias("cell")).select(*by, "cell.column", "cell.value")
-    cells = cells.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    ])).alias("cell")).select(*by, "cell.column", F.nullif("cell.value", F.lit(float("nan"))).alias("value"))
     counts = cells.groupBy(*by, "column", "value").agg(F.count("*").alias("n__"))
-    ranked = running_totals(counts, [*by, "column"], [F.col("value")], {"n": "n__"})
-    wanted = ranked.select("*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-    position = F.col("prob") * (F.col("n_all") - 1)
+    counts = counts.withColumn("m__", F.when(F.col("value").isNull(), F.col("n__")).otherwise(0))
+    return running_totals(counts, [*by, "column"], [F.col("value").asc_nulls_last()],
+                          {"n": "n__", "m": "m__"})
+
+
+def pick_quantiles(ranks: DataFrame, probs: list[float], by: list[str] | None = None) -> DataFrame:
+    """Quantiles with linear interpolation out of ``value_ranks``: long form."""
+    by = by or []
+    wanted = ranks.where(F.col("value").isNotNull()).select(
+        "*", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
+    position = F.col("prob") * (F.col("n_all") - F.col("m_all") - 1)
     low, high = F.floor(position), F.ceil(position)
 
     def covers(rank: Column) -> Column:
@@ -93,25 +101,68 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float],
     return picked.select(*by, "column", "prob", value.alias("value"))
 
 
-def quantile_record(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> Column:
-    """One struct of named quantiles as a scalar subquery."""
-    columns = sorted({c for c, _ in wanted.values()})
-    probs = sorted({p for _, p in wanted.values()})
-    table = quantiles(df, columns, probs)
+def quantiles(df: DataFrame, columns: list[str], probs: list[float],
+              by: list[str] | None = None) -> DataFrame:
+    """Exact quantiles: ``by``..., ``column``, ``prob``, ``value``."""
+    return pick_quantiles(value_ranks(df, columns, by), probs, by)
+
+
+def _record(table: DataFrame, wanted: dict[str, tuple[str, float]]) -> Column:
     return table.agg(F.struct(*[
         F.max(F.when((F.col("column") == c) & (F.col("prob") == p), F.col("value"))).alias(name)
         for name, (c, p) in wanted.items()
     ]).alias("record")).scalar()
 
 
-def value_codes(df: DataFrame, column: str, small: int = 10_000) -> DataFrame:
-    """Distinct values of ``column`` with their 0-based code-point rank.
+def quantile_record(df: DataFrame, wanted: dict[str, tuple[str, float]]) -> Column:
+    """One struct of named quantiles as a scalar subquery."""
+    columns = sorted({c for c, _ in wanted.values()})
+    probs = sorted({p for _, p in wanted.values()})
+    return _record(quantiles(df, columns, probs), wanted)
+
+
+def median_record(ranks: DataFrame, columns: list[str]) -> Column:
+    """Median of every column of ``value_ranks`` as one struct."""
+    return _record(pick_quantiles(ranks, [0.5]), {c: (c, 0.5) for c in columns})
+
+
+def filled_quantile_record(ranks: DataFrame, column: str, wanted: dict[str, float],
+                           fill: Column) -> Column:
+    """Quantiles of ``column`` after its missing values were set to ``fill``.
+
+    Filling inserts ``m_all`` copies of one value, so the rank intervals above
+    it move up by that many places: no second pass over the data is needed.
+    """
+    rows = ranks.where((F.col("column") == column) & F.col("value").isNotNull()).withColumn("fill__", fill)
+    start = F.col("n_before") + F.when(F.col("value") > F.col("fill__"), F.col("m_all")).otherwise(0)
+    stop = F.col("n_upto") + F.when(F.col("value") >= F.col("fill__"), F.col("m_all")).otherwise(0)
+    fields = []
+    for name, prob in wanted.items():
+        position = F.lit(float(prob)) * (F.col("n_all") - 1)
+
+        def at(rank: Column) -> Column:
+            hit = F.max(F.when((start <= rank) & (rank < stop), F.col("value")))
+            return F.coalesce(hit, F.max("fill__"))
+
+        low, high = at(F.floor(position)), at(F.ceil(position))
+        fields.append((low + (high - low) * F.max(position - F.floor(position))).alias(name))
+    return rows.agg(F.struct(*fields).alias("record")).scalar()
+
+
+def value_codes(df: DataFrame, columns: list[str], small: int = 10_000) -> DataFrame:
+    """Distinct values of every column with their 0-based code-point rank.
 
-    Small domains (size checked) rank in one window; larger ones use the range
-    partitioned route. Result columns: ``value``, ``code``.
+    Long form ``column``, ``value``, ``code`` from one pass over ``df``. The
+    distinct pairs are stored, so the size check does not read ``df`` again:
+    up to ``small`` pairs rank in one window and are broadcast, more take the
+    range partitioned route.
     """
-    values = df.select(F.col(column).alias("value")).distinct()
-    if values.limit(small + 1).count() <= small:
-        code = F.row_number().over(Window.orderBy("value")) - 1
-        return F.broadcast(values.select("value", code.cast("int").alias("code")))
-    return row_positions(values, [], ["value"], "code").select("value", F.col("code").cast("int").alias("code"))
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns
+    ])).alias("pair")).select("pair.*").distinct()
+    pairs = cut_lineage(pairs)
+    if pairs.count() <= small:
+        code = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
+        return F.broadcast(pairs.select("column", "value", code.cast("int").alias("code")))
+    ranked = row_positions(pairs, ["column"], ["value"], "code")
+    return ranked.select("column", "value", F.col("code").cast("int").alias("code"))

@@ -8,7 +8,7 @@ from ..functions import noise, pricing
 from ..functions.numeric import clip, half_even
 from ..functions.text import has_quality_word
 from .ordering import quantile_record
-from .scaling import MinMax
+from .scaling import MinMax, attach
 
 # Default weights of the composite score.
 DEFAULT_WEIGHTS = {"rating": 0.35, "nb_reviews": 0.25, "en_stock": 0.15,
@@ -37,7 +37,7 @@ def topk_score(df: DataFrame, weights: dict[str, float] | None = None) -> DataFr
     for name, part in parts.items():
         term = F.lit(float(weights.get(name, 0))) * part
         score = term if score is None else score + term
-    return df.withColumn("topk_score", half_even(score, 4))
+    return scaled.frame.withColumn("topk_score", half_even(score, 4)).drop(scaled.BOUNDS)
 
 
 def fixed_label(df: DataFrame, with_price: bool = True) -> DataFrame:
@@ -65,7 +65,7 @@ def collector_score(df: DataFrame) -> DataFrame:
     })
     raw = (F.lit(0.35) * scaled["rating"] + F.lit(0.25) * scaled["reviews"]
            + F.lit(0.15) * F.col("en_stock").cast("double") + F.lit(0.25) * (F.lit(1.0) - scaled["price"]))
-    return df.withColumn("score_attractivite", half_even(raw, 4))
+    return scaled.frame.withColumn("score_attractivite", half_even(raw, 4)).drop(scaled.BOUNDS)
 
 
 def _estimated_rating(key: Column, discount: Column, in_stock: Column, tags: Column) -> Column:
@@ -95,14 +95,15 @@ def estimate_ratings(df: DataFrame, key: str = "product_id") -> DataFrame:
         F.coalesce(F.max(F.col("rating").cast("double")), F.lit(0.0)).alias("best"),
         F.max(clip(F.coalesce(F.col("prix").cast("double"), F.lit(0.0)), 0.0)).alias("top_price"),
     ).alias("facts")).scalar()
-    unrated = facts.getField("best") == 0
+    known = F.col("facts__")
+    unrated = known["best"] == 0
     tags = F.col("tags") if "tags" in df.columns else F.lit("")
     rating = _estimated_rating(F.col(key), F.col("remise_pct"), F.col("en_stock"), tags)
-    reviews = _estimated_reviews(F.col(key), F.col("prix"), facts.getField("top_price"))
-    return df.withColumns({
+    reviews = _estimated_reviews(F.col(key), F.col("prix"), known["top_price"])
+    return attach(df, facts, "facts__").withColumns({
         "rating": F.when(unrated, rating).otherwise(F.col("rating")),
         "nb_reviews": F.when(unrated, reviews).otherwise(F.col("nb_reviews").cast("int")),
-    })
+    }).drop("facts__")
 
 
 def score_collected(df: DataFrame) -> DataFrame:
