@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_clean"]
+MODULES = ["q_clean", "q_scores"]
 
 
 def load_all() -> None:

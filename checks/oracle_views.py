@@ -61,6 +61,11 @@ def np_round(expr: str, digits: int) -> str:
     return f"(round_even(({expr}) * 1e{digits}, 0) / 1e{digits})"
 
 
+def mean(expr: str) -> str:
+    """Mean over a fixed-point sum."""
+    return f"(CAST(SUM(CAST({expr} AS DECIMAL(18,6))) AS DOUBLE) / COUNT({expr}))"
+
+
 def scored_view(source: str, name: str, weights=(0.35, 0.25, 0.15, 0.15, 0.10), engagement: str | None = None) -> str:
     """CTE ``name``: ``source`` plus ``engagement`` (unless given) and ``topk_score``."""
     e = engagement or "rating * ln(1e0 + nb_reviews)"

@@ -46,3 +46,13 @@ def clip(value: Column, low=None, high=None) -> Column:
 def truncate_int(value: Column) -> Column:
     """Missing to 0, then truncate towards zero."""
     return F.coalesce(value, F.lit(0.0)).cast("int")
+
+
+def steady_mean(value: Column) -> Column:
+    """Mean over a fixed-point sum (6 places): the same for any partitioning.
+
+    A floating-point sum depends on the order of its terms, which flips means
+    that sit on a rounding edge.
+    """
+    total = F.sum(value.cast("decimal(18,6)")).cast("double")
+    return F.try_divide(total, F.count(value))

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.numeric import half_even
+from ..functions.numeric import half_even, steady_mean
 from ..functions.text import product_line
 from .ordering import quantiles
 from .topk import rank_top
@@ -56,23 +56,23 @@ def catalog_stats(scored: DataFrame, k: int = 10) -> DataFrame:
     """Global catalogue statistics with the score range of the k best products."""
     best = rank_top(scored, k).agg(F.struct(
         half_even(F.min("topk_score"), 4).alias("low"),
-        half_even(F.avg("topk_score"), 4).alias("mean")).alias("best")).scalar()
+        half_even(steady_mean(F.col("topk_score")), 4).alias("mean")).alias("best")).scalar()
     return scored.agg(
         F.count("*").alias("nb_produits_total"),
         F.countDistinct("categorie").alias("nb_categories"),
         F.countDistinct("marque_vendeur").alias("nb_shops"),
-        half_even(F.avg("prix"), 2).alias("prix_moyen"),
-        half_even(F.avg("rating"), 2).alias("rating_moyen"),
-        half_even(F.avg("en_stock") * 100, 1).alias("pct_en_stock"),
+        half_even(steady_mean(F.col("prix")), 2).alias("prix_moyen"),
+        half_even(steady_mean(F.col("rating")), 2).alias("rating_moyen"),
+        half_even(steady_mean(F.col("en_stock")) * 100, 1).alias("pct_en_stock"),
     ).withColumns({"top_k_score_min": best.getField("low"), "top_k_score_moyen": best.getField("mean")})
 
 
 def kpis(df: DataFrame) -> DataFrame:
     return df.agg(
         F.count("*").alias("total_produits"),
-        half_even(F.avg("prix"), 2).alias("prix_moyen"),
-        half_even(F.avg("rating"), 2).alias("note_moyenne"),
-        half_even(F.avg("en_stock") * 100, 1).alias("pct_en_stock"),
+        half_even(steady_mean(F.col("prix")), 2).alias("prix_moyen"),
+        half_even(steady_mean(F.col("rating")), 2).alias("note_moyenne"),
+        half_even(steady_mean(F.col("en_stock")) * 100, 1).alias("pct_en_stock"),
         F.sum("nb_reviews").alias("total_avis"),
     )
 
@@ -85,15 +85,15 @@ def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFram
 
 def shop_performance(scored: DataFrame) -> DataFrame:
     return scored.groupBy("marque_vendeur").agg(
-        half_even(F.avg("topk_score"), 3).alias("score_moyen"),
+        half_even(steady_mean(F.col("topk_score")), 3).alias("score_moyen"),
         F.count("product_id").alias("nb_produits"),
-        half_even(F.avg("rating"), 3).alias("rating_moyen"),
+        half_even(steady_mean(F.col("rating")), 3).alias("rating_moyen"),
     ).orderBy(F.col("score_moyen").desc(), "marque_vendeur")
 
 
 def country_stats(scored: DataFrame) -> DataFrame:
     return scored.groupBy("pays_shop").agg(
-        F.count("product_id").alias("nb_produits"), half_even(F.avg("topk_score"), 6).alias("score_moyen"))
+        F.count("product_id").alias("nb_produits"), half_even(steady_mean(F.col("topk_score")), 6).alias("score_moyen"))
 
 
 def shop_competition(df: DataFrame) -> DataFrame:
@@ -101,9 +101,9 @@ def shop_competition(df: DataFrame) -> DataFrame:
     score = "topk_score" if "topk_score" in df.columns else "rating"
     return df.groupBy("marque_vendeur").agg(
         F.count("product_id").alias("nb_produits"),
-        half_even(F.avg("rating"), 2).alias("rating_moyen"),
-        half_even(F.avg("prix"), 2).alias("prix_moyen"),
-        half_even(F.avg(score), 2).alias("score_moyen"),
+        half_even(steady_mean(F.col("rating")), 2).alias("rating_moyen"),
+        half_even(steady_mean(F.col("prix")), 2).alias("prix_moyen"),
+        half_even(steady_mean(F.col(score)), 2).alias("score_moyen"),
         F.sum("nb_reviews").alias("total_avis"),
     )
 
@@ -115,7 +115,7 @@ def json_records(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def rating_heatmap(df: DataFrame, platforms: list[str] | None = None) -> DataFrame:
     """Mean rating, category by platform; named platforms spare the extra scan."""
-    return df.groupBy("categorie").pivot("plateforme", platforms).agg(half_even(F.avg("rating"), 2))
+    return df.groupBy("categorie").pivot("plateforme", platforms).agg(half_even(steady_mean(F.col("rating")), 2))
 
 
 def price_boxplot(df: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def price_boxplot(df: DataFrame) -> DataFrame:
 
 def best_group(scored: DataFrame, group: str, score: str = "topk_score") -> DataFrame:
     """The group with the highest mean score; ties go to the first key."""
-    means = scored.groupBy(group).agg(F.avg(score).alias("mean"))
+    means = scored.groupBy(group).agg(steady_mean(F.col(score)).alias("mean"))
     best = means.orderBy(F.col("mean").desc(), group).limit(1)
     return best.select(F.lit(group).alias("dimension"), F.col(group).alias("best"),
                        half_even(F.col("mean"), 6).alias("mean_score"))
@@ -152,9 +152,9 @@ def topk_metrics(scored: DataFrame, k: int = 20) -> DataFrame:
     total = scored.agg(F.count("*")).scalar()
     return rank_top(scored, k).agg(
         F.count("*").alias("top_rows"),
-        half_even(F.avg("topk_score"), 4).alias("avg_topk_score"),
-        half_even(F.avg("rating"), 4).alias("avg_rating_topk"),
-        half_even(F.avg("prix"), 2).alias("avg_price_topk"),
+        half_even(steady_mean(F.col("topk_score")), 4).alias("avg_topk_score"),
+        half_even(steady_mean(F.col("rating")), 4).alias("avg_rating_topk"),
+        half_even(steady_mean(F.col("prix")), 2).alias("avg_price_topk"),
     ).withColumns({"top_k": F.lit(k), "nb_products_analyzed": total})
 
 
@@ -165,8 +165,8 @@ def market_context(scored: DataFrame, top: int = 10, categories: int = 7) -> Dat
     """
     stats = scored.agg(
         F.count("*").cast("string").alias("nb_produits_total"),
-        F.format_string("%.2f", half_even(F.avg("prix"), 2)).alias("prix_moyen"),
-        F.format_string("%.2f", half_even(F.avg("rating"), 2)).alias("rating_moyen"),
+        F.format_string("%.2f", half_even(steady_mean(F.col("prix")), 2)).alias("prix_moyen"),
+        F.format_string("%.2f", half_even(steady_mean(F.col("rating")), 2)).alias("rating_moyen"),
     )
     names = stats.columns
     facts = stats.select(F.explode(F.array(*[
@@ -188,3 +188,21 @@ def market_context(scored: DataFrame, top: int = 10, categories: int = 7) -> Dat
 def empty_report(spark: SparkSession, columns: str) -> DataFrame:
     """Typed empty frame for operators whose input is empty."""
     return spark.createDataFrame([], columns)
+
+
+# Display names of the ranking table.
+TOP_LABELS = {"rank": "Rang", "nom": "Produit", "categorie": "Catégorie", "marque_vendeur": "Shop",
+              "pays_shop": "Pays", "prix": "Prix", "rating": "Note", "nb_reviews": "Avis", "topk_score": "Score"}
+SHOP_LABELS = {"marque_vendeur": "Shop", "score_moyen": "Score Moyen", "nb_produits": "Nb Produits",
+               "rating_moyen": "Note Moyenne"}
+
+
+def display(df: DataFrame, labels: dict[str, str]) -> DataFrame:
+    """Project and rename for display."""
+    return df.select(*[F.col(c).alias(label) for c, label in labels.items()])
+
+
+def json_array(df: DataFrame, columns: list[str], rank: str) -> DataFrame:
+    """One JSON array over an already bounded report, in rank order."""
+    ordered = F.sort_array(F.collect_list(F.struct(rank, F.struct(*columns).alias("record"))))
+    return df.agg(F.to_json(F.transform(ordered, lambda item: item["record"])).alias("records"))
