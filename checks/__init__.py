@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_clean", "q_scores"]
+MODULES = ["q_clean", "q_scores", "q_ingest"]
 
 
 def load_all() -> None:

@@ -54,11 +54,6 @@ def currency(country: Column) -> Column:
     return chain.otherwise(DEFAULT_CURRENCY)
 
 
-def first_truthy(*values: Column) -> Column:
-    """First value that is neither NULL nor zero (0.0 when there is none)."""
-    return F.coalesce(*[F.when(v != 0, v) for v in values], F.lit(0.0))
-
-
 def fixed_attractiveness(rating: Column, reviews: Column, in_stock: Column,
                          price: Column | None = None) -> Column:
     """Attractiveness with fixed scales; the price term is optional. Not rounded."""

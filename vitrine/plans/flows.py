@@ -1,19 +1,52 @@
-"""Composed flows."""
+"""Composed flows: reports, consolidation and ingestion."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from ..operators import reports, topk
-from ..operators.scoring import topk_score
+from ..operators import clean, reports, scoring, topk
+from ..session import cut_lineage
+from ..sources.tables import union_sources, write_table
 
 
 def topk_report(df: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     """Global, per-category and per-shop selections plus statistics of one score."""
-    scored = topk_score(df)
+    scored = scoring.topk_score(df)
     return {
         "global": topk.rank_top(scored, k),
         "by_category": topk.rank_top_by(scored, "categorie", 5, "rank_in_category"),
         "by_shop": topk.rank_top_by(scored, "marque_vendeur", 1, "rank_in_shop"),
         "stats": reports.catalog_stats(scored, k),
     }
+
+
+def number_sources(sources: list[DataFrame]) -> list[DataFrame]:
+    """Tag every source with its place in the list, so "first" has a meaning after a union."""
+    return [s.withColumn("source_no", F.lit(i)) for i, s in enumerate(sources)]
+
+
+def consolidate(sources: list[DataFrame], order: list[str], sink: str | None = None) -> DataFrame:
+    """Union of accepted records, two-stage dedup, types; optional CSV sink.
+
+    Order of precedence: source list position, then ``order`` within a source.
+    """
+    merged = union_sources(*number_sources(sources))
+    result = clean.clean_consolidated(merged, ["source_no", *order])
+    if sink:
+        write_table(result, sink, "csv")
+    return result
+
+
+def ingest(sources: list[DataFrame], order: list[str], strict: bool = False,
+           sink: str | None = None) -> DataFrame:
+    """Union, dedup by url, ratings if absent, score, label; optional CSV sink.
+
+    Scoring needs several passes (facts, bounds, quantile), so the parsed and
+    deduplicated rows are stored once instead of parsing the documents again.
+    """
+    merged = union_sources(*number_sources(sources))
+    unique = cut_lineage(clean.dedup_by_url(merged, ["source_no", *order], strict=strict))
+    result = scoring.score_collected(unique)
+    if sink:
+        write_table(result, sink, "csv")
+    return result
