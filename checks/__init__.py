@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_clean", "q_scores", "q_ingest", "q_models"]
+MODULES = ["q_clean", "q_scores", "q_ingest", "q_models", "q_clusters"]
 
 
 def load_all() -> None:
