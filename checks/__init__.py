@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["q_clean", "q_scores", "q_ingest", "q_models", "q_clusters"]
+MODULES = ["q_clean", "q_scores", "q_ingest", "q_models", "q_clusters", "q_flows"]
 
 
 def load_all() -> None:

@@ -289,7 +289,6 @@ b AS (SELECT * FROM (SELECT * EXCLUDE (rn), row_number() OVER (PARTITION BY nom,
 SELECT product_id, nom, marque_vendeur, prix, rating, nb_reviews, url FROM b""")
 def consolidate(spark, sf):
     sources = [store_json.accepted(shop(spark, sf)), store_json.accepted(woo(spark, sf))]
-    order = ["source_no", "seq"]
     numbered = [s.withColumn("seq", F.col("product_id").cast("long")) for s in sources]
     return flows.consolidate(numbered, order=["seq"]).select(
         "product_id", "nom", "marque_vendeur", "prix", "rating", "nb_reviews", "url")

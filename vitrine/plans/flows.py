@@ -1,10 +1,13 @@
-"""Composed flows: reports, consolidation and ingestion."""
+"""Composed flows: reports, consolidation, ingestion and analysis."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import clean, reports, scoring, topk
+from ..operators import classify, clean, clustering, features, reports, rules, scoring, topk
+from ..operators.dbscan import anomaly_summary, dbscan
 from ..session import cut_lineage
 from ..sources.tables import union_sources, write_table
 
@@ -50,3 +53,71 @@ def ingest(sources: list[DataFrame], order: list[str], strict: bool = False,
     if sink:
         write_table(result, sink, "csv")
     return result
+
+
+@dataclass
+class ClusterRun:
+    """Rows with every cluster column, and the small tables that describe them."""
+
+    rows: DataFrame
+    elbow: DataFrame
+    profile: DataFrame
+    quality: DataFrame
+    loadings: DataFrame
+    anomalies: DataFrame
+
+
+def full_clustering(df: DataFrame, key: str = "product_id", k: int = 3, k_max: int = 8, restarts: int = 10,
+                    eps: float = 1.0, min_samples: int = 15) -> ClusterRun:
+    """Elbow, k-means, hierarchy, density anomalies and projection of one cached matrix."""
+    matrix, scaled = clustering.feature_matrix(df)
+    matrix = matrix.cache()
+    curve = clustering.elbow(matrix, scaled, k_max, restarts, key=key)
+    rows, _ = clustering.kmeans_segments(matrix, k, restarts)
+    rows = clustering.hierarchical_segments(rows, k)
+    density = dbscan(matrix, key, scaled, eps, min_samples)
+    rows, loadings = clustering.pca_2d(rows.join(density.drop("is_core"), key), scaled)
+    return ClusterRun(
+        rows=rows.drop("features", *scaled), elbow=curve,
+        profile=clustering.cluster_profile(rows, "cluster_kmeans"),
+        quality=clustering.evaluate_clusters(rows, "cluster_kmeans", scaled),
+        loadings=loadings, anomalies=anomaly_summary(density))
+
+
+def preprocess(df: DataFrame, order: list[str]) -> DataFrame:
+    """Clean and derive features; kept in executor storage for the later steps."""
+    return features.feature_engineering(clean.clean_products(df, order)).persist()
+
+
+def analyse(df: DataFrame, order: list[str], baskets: tuple[DataFrame, str, str] | None = None,
+            steps: tuple[str, ...] = ("topk", "clustering", "classification", "association"),
+            **options) -> dict[str, object]:
+    """The batch analysis: each named step runs on one preprocessed frame.
+
+    ``baskets`` is (pairs, group column, item column); without it the shops'
+    categories are mined. ``options`` holds keyword arguments per step.
+    """
+    frame = preprocess(df, order)
+    result: dict[str, object] = {"frame": frame}
+    if "topk" in steps:
+        result["topk"] = topk_report(frame, **options.get("topk", {}))
+    if "clustering" in steps:
+        result["clustering"] = full_clustering(frame, **options.get("clustering", {}))
+    if "classification" in steps:
+        result["classification"] = classify.run_full_classification(frame, **options.get("classification", {}))
+    if "association" in steps:
+        pairs, group, item = baskets or (frame, "marque_vendeur", "categorie")
+        result["association"] = rules.run_association_analysis(pairs, group, item, **options.get("association", {}))
+    return result
+
+
+def staged(df: DataFrame, order: list[str], k: int = 20, rounds: int = 200,
+           model_path: str | None = None) -> dict[str, object]:
+    """Prepare once, then select the Top-K and train boosted trees on the same frame."""
+    frame = features.staged_features(clean.clean_staged(df, order)).persist()
+    scored = scoring.topk_score(frame)
+    trained, metrics, _ = classify.train_boosted_trees(frame, rounds=rounds, preset="staged", weighted=False)
+    if model_path:
+        classify.save_model(trained.model, model_path)
+    return {"topk": topk.rank_top(scored, k), "topk_metrics": reports.topk_metrics(scored, k),
+            "model": trained, "model_metrics": metrics.select("accuracy", "f1", "auc")}
