@@ -13,6 +13,13 @@ def frame(spark, rows, schema):
     return spark.createDataFrame(rows, schema)
 
 
+@pytest.fixture(params=["window", "range"])
+def order_route(request, monkeypatch):
+    """Run a test on both routes of the ordering primitive."""
+    monkeypatch.setattr(ordering, "SMALL_ROWS", 10 ** 6 if request.param == "window" else -1)
+    return request.param
+
+
 def test_keep_first_uses_order(spark):
     df = frame(spark, [(1, 9, "late"), (1, 2, "early"), (2, 1, "only")], "k int, seq int, v string")
     got = {r.k: r.v for r in clean.keep_first(df, ["k"], ["seq"]).collect()}
@@ -32,9 +39,9 @@ def test_blank_urls_survive_unless_strict(spark):
     assert sorted(r.seq for r in clean.dedup_by_url(df, ["seq"], strict=True).collect()) == [1, 3, 4]
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.one_of(st.none(), st.integers(-50, 50).map(float)), min_size=1, max_size=40), st.integers(1, 5))
-def test_quantiles_match_numpy(spark, values, partitions):
+def test_quantiles_match_numpy(spark, order_route, values, partitions):
     known = [v for v in values if v is not None]
     df = frame(spark, [(v,) for v in values], "v double").repartition(partitions)
     got = {r.prob: r.value for r in ordering.quantiles(df, ["v"], [0.0, 0.01, 0.5, 0.6, 1.0]).collect()}
@@ -44,7 +51,7 @@ def test_quantiles_match_numpy(spark, values, partitions):
         assert value == pytest.approx(np.quantile(known, prob), abs=1e-9)
 
 
-def test_hot_group_spreads_over_slabs(spark):
+def test_hot_group_spreads_over_slabs(spark, order_route):
     """One group with nearly all values still gets exact quantiles."""
     df = spark.range(5000).selectExpr("CASE WHEN id < 4990 THEN 'hot' ELSE 'cold' END AS g", "CAST(id AS double) AS v")
     got = {r.g: r.value for r in ordering.quantiles(df, ["v"], [0.5], by=["g"]).collect()}
@@ -52,7 +59,7 @@ def test_hot_group_spreads_over_slabs(spark):
 
 
 @pytest.mark.parametrize("values", [[1.0, None, 3.0, 10.0, None, None], [5.0, 5.0, None], [1.0, 2.0, 3.0, 4.0, None]])
-def test_filled_quantiles(spark, values):
+def test_filled_quantiles(spark, order_route, values):
     df = frame(spark, [(v,) for v in values], "prix double")
     ranks = ordering.value_ranks(df, ["prix"])
     median = ordering.median_record(ranks, ["prix"])
@@ -63,7 +70,7 @@ def test_filled_quantiles(spark, values):
     assert got.low == pytest.approx(np.quantile(full, 0.1)) and got.high == pytest.approx(np.quantile(full, 0.85))
 
 
-def test_row_positions_and_codes(spark):
+def test_row_positions_and_codes(spark, order_route):
     df = spark.range(1000).selectExpr("id % 3 AS g", "id AS v")
     ranked = ordering.row_positions(df, ["g"], ["v"], "pos").collect()
     assert all(r.pos == r.v // 3 for r in ranked)
@@ -157,7 +164,7 @@ def test_auc_edges(spark, triples, area):
     assert metrics.auc_exact(scored(spark, triples)).first().auc == area
 
 
-def test_auc_matches_pairs(spark):
+def test_auc_matches_pairs(spark, order_route):
     rng = np.random.default_rng(3)
     y, p = rng.integers(0, 2, 300), rng.integers(0, 12, 300) / 12.0
     pos, neg = p[y == 1], p[y == 0]
@@ -176,7 +183,7 @@ def test_metrics_zero_division(spark):
         {(0, 0): 0, (0, 1): 0, (1, 0): 1, (1, 1): 0}
 
 
-def test_split_and_folds_are_exact_and_stable(spark):
+def test_split_and_folds_are_exact_and_stable(spark, order_route):
     df = spark.range(997).selectExpr("id AS k", "CAST(id % 10 = 0 AS int) AS y")
     first = splits.stratified_split(df, "y", "k")
     again = splits.stratified_split(df.repartition(9), "y", "k")

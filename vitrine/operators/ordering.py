@@ -1,8 +1,9 @@
-"""Global order without a single-task window.
+"""Global order without an unbounded single-task window.
 
-``running_totals`` is the one primitive: pre-aggregate, range-partition on the
-order, checkpoint so that slab membership is a stored fact, then add each
-slab's offset to a per-slab running sum. A group holding a third of all rows
+``running_totals`` is the one primitive: store the pre-aggregated rows; if they
+are few, order them in one window; otherwise range-partition on the order,
+checkpoint so that slab membership is a stored fact, and add each slab's offset
+to a per-slab running sum. A group holding a third of all rows
 is spread over many slabs because the slab boundaries ignore group borders.
 """
 
@@ -12,9 +13,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut_lineage
+from ..session import broadcast_if_small, cut_lineage
 
 _SLAB = "slab__"
+SMALL_ROWS = 50_000
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -27,8 +29,26 @@ def running_totals(df: DataFrame, by: list[str], order: list[Column],
 
     ``totals`` maps an output name to the summed column. For every entry the
     result has ``<name>_before``, ``<name>_upto`` and the group's ``<name>_all``.
-    Rows should be pre-aggregated: the work is one range shuffle of ``df``.
+    ``df`` should be pre-aggregated. It is stored once; up to ``SMALL_ROWS``
+    rows are ordered by a plain window, more take one range shuffle.
     """
+    stored = cut_lineage(df)
+    if stored.count() <= SMALL_ROWS:
+        return _window_totals(stored, by, order, totals)
+    return _range_totals(stored, by, order, totals)
+
+
+def _window_totals(df: DataFrame, by: list[str], order: list[Column], totals: dict[str, str]) -> DataFrame:
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    run = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = df.select("*", *[F.sum(c).over(run).alias(f"{n}_upto") for n, c in totals.items()],
+                       *[F.sum(c).over(group).alias(f"{n}_all") for n, c in totals.items()])
+    return summed.select(*df.columns, *[
+        column for n, c in totals.items()
+        for column in ((F.col(f"{n}_upto") - F.col(c)).alias(f"{n}_before"), F.col(f"{n}_upto"), F.col(f"{n}_all"))])
+
+
+def _range_totals(df: DataFrame, by: list[str], order: list[Column], totals: dict[str, str]) -> DataFrame:
     slabs = df.repartitionByRange(*[F.col(b) for b in by], *order)
     slabs = cut_lineage(slabs.withColumn(_SLAB, F.spark_partition_id()))
     per_slab = slabs.groupBy(*by, _SLAB).agg(
@@ -36,15 +56,14 @@ def running_totals(df: DataFrame, by: list[str], order: list[Column],
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
     # One row per slab and group: at most (partitions + groups) rows in total.
-    offsets = per_slab.select(
+    offsets = broadcast_if_small(per_slab.select(
         *by, _SLAB,
         *[F.coalesce(F.sum(f"{n}_slab").over(earlier), F.lit(0)).alias(f"{n}_off") for n in totals],
         *[F.sum(f"{n}_slab").over(group).alias(f"{n}_all") for n in totals],
-    )
+    ))
     within = Window.partitionBy(*by, _SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    keys = [*by, _SLAB]
     local = slabs.select("*", *[F.sum(c).over(within).alias(f"{n}_run") for n, c in totals.items()])
-    joined = local.join(offsets, _same(local, offsets, keys))
+    joined = local.join(offsets, _same(local, offsets, [*by, _SLAB]))
     keep = [local[c] for c in df.columns]
     out = []
     for name, column in totals.items():

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import half_even, steady_mean
 from ..functions.text import product_line
+from ..session import broadcast_if_small
 from .ordering import quantiles
 from .topk import rank_top
 
@@ -127,6 +128,7 @@ def price_boxplot(df: DataFrame) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fenced = boxes.withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
     inside = F.col("prix").between(F.col("low_fence"), F.col("high_fence"))
+    fenced = broadcast_if_small(fenced)  # one row per category
     return df.select("categorie", "prix").join(fenced, "categorie").groupBy("categorie").agg(
         *[half_even(F.max(c), 4).alias(c) for c in ("q1", "median", "q3")],
         F.min(F.when(inside, F.col("prix"))).alias("whisker_low"),

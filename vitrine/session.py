@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -51,3 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages restart from files, not from the plan."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """Store a table that should be small; broadcast it only if it is.
+
+    Above ``limit`` rows the stored table is returned without a hint, and the
+    join shuffles both sides (adaptive execution splits hot keys).
+    """
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.count() <= limit else stored
