@@ -21,8 +21,14 @@ def stores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _pages(items: DataFrame, opening: str, closing: str) -> DataFrame:
-    """Pages of at most 250 items: identifiers are split in ranges of 250."""
-    grouped = items.groupBy("store", F.floor(pid() / 250).cast("int").alias("page")).agg(
+    """Pages of at most 250 items: identifiers are split in ranges of 250.
+
+    The fixed partition count keeps the parsing that follows parallel, as a
+    scan of landed files would be; the grouping reuses it.
+    """
+    width = int(items.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = items.withColumn("page", F.floor(pid() / 250).cast("int")).repartition(width, "store", "page")
+    grouped = placed.groupBy("store", "page").agg(
         F.sort_array(F.collect_list(F.struct("product_id", "item"))).alias("items"))
     body = F.concat(F.lit(opening), F.array_join(F.col("items.item"), ","), F.lit(closing))
     return grouped.select("store", "page", body.alias("body"))

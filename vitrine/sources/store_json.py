@@ -86,13 +86,16 @@ def shop_rows(items: DataFrame, double_discount: bool = False) -> DataFrame:
     """
     item = F.col("item")
     first = F.get(item["variants"], F.lit(0))
-    price_text, compare_text = first["price"], first["compare_at_price"]
-    price = F.coalesce(_amount(price_text), F.lit(0.0))
-    compare = F.coalesce(_amount(compare_text), price)
-    percent = effective_discount(compare, price)
+    # Parsed once here; the projection below only combines the results.
+    items = items.withColumns({
+        "price_text": first["price"], "compare_text": first["compare_at_price"],
+        "price_value": _amount(first["price"]), "compare_value": _amount(first["compare_at_price"])})
+    price = F.coalesce(F.col("price_value"), F.lit(0.0))
+    items = items.withColumn("percent", effective_discount(F.coalesce(F.col("compare_value"), price), price))
+    percent = F.col("percent")
     promo = F.when(percent == 0, price).otherwise(promo_price(price, percent)) if double_discount else price
-    valid = (_blank(price_text) | _amount(price_text).isNotNull()) \
-        & (_blank(compare_text) | _amount(compare_text).isNotNull())
+    valid = (_blank(F.col("price_text")) | F.col("price_value").isNotNull()) \
+        & (_blank(F.col("compare_text")) | F.col("compare_value").isNotNull())
     return items.select(
         "store", "page", "pos",
         F.coalesce(item["id"], F.lit("")).alias("product_id"),
