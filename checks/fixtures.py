@@ -41,7 +41,7 @@ def build_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum(F.when(F.col("l_returnflag") != "R", 1).otherwise(0)).alias("kept"),
         F.min("l_extendedprice").alias("low_price"),
         F.sum(F.rint(F.col("l_discount") * 100).cast("int")).alias("discount_points"),
-        F.sum(F.when(F.col("l_shipdate") >= F.lit("2001-01-01").cast("timestamp"), F.col("l_quantity"))
+        F.sum(F.when(F.col("l_shipdate").cast("date") >= F.lit("2001-01-01").cast("date"), F.col("l_quantity"))
               .otherwise(F.lit(0.0))).alias("quantity"),
         F.min(F.datediff("l_shipdate", "o_orderdate")).alias("days"),
         F.min("o_orderdate").alias("listed"),

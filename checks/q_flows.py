@@ -11,7 +11,8 @@ from vitrine.session import scratch_path
 from .fixtures import baskets, products, products_dirty
 from .oracle_views import np_round, scored_view
 from .q_clean import FEATURED
-from .registry import query
+from . import q_models  # noqa: F401  (registers the rules oracle used below)
+from .registry import ORACLES, query
 
 FLOW_SCORED = (FEATURED.replace("derived AS", "derived_0 AS").replace("FROM derived)", "FROM derived_0)")
                + ", " + scored_view("(SELECT * EXCLUDE (engagement), engagement AS e0 FROM featured)", "scored", engagement="e0"))
@@ -38,7 +39,7 @@ def full_clustering(spark, sf):
                            "is_anomalie", "PC1", "PC2")
 
 
-@query("analysis_association")
+@query("analysis_association", ORACLES["association_analysis"])
 def analysis_association(spark, sf):
     pairs = (baskets(spark, sf), "l_orderkey", "item")
     return flows.analyse(products_dirty(spark, sf), ["ingest_seq"], pairs, steps=("association",))["association"]

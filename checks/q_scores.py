@@ -355,7 +355,9 @@ def json_records(spark, sf):
     return reports.json_records(stats, ["marque_vendeur", "nb_produits", "total_avis"])
 
 
-@query("top_products_json")
+@query("top_products_json", f"""WITH {SCORED}, b AS (SELECT * FROM scored ORDER BY topk_score DESC, product_id LIMIT 10)
+SELECT '[' || string_agg('{{"nom":"' || nom || '","categorie":"' || categorie || '","prix":' || prix || ',"rating":' || rating
+|| ',"nb_reviews":' || nb_reviews || '}}', ',' ORDER BY topk_score DESC, product_id) || ']' AS records FROM b""")
 def top_products_json(spark, sf):
     """The ten best products as one JSON array (bounded by the report size)."""
     return reports.json_array(topk.rank_top(scored(spark, sf), 10), CARD, "rank")
