@@ -139,7 +139,7 @@ def _search(table: pa.Table, window: int, first: bool):
             order = np.argsort(words.row[place], kind="stable")
             place, length, item = place[order], length[order], item[order]
             rows, begin = np.unique(words.row[place], return_index=True)
-            for row, a, b in zip(rows, begin, [*begin[1:], len(place)], strict=True):
+            for row, a, b in zip(rows, begin, [*begin[1:], len(place)], strict=False):
                 at = place[a:b] - words.first[row]
                 spans[row] = merge([*spans[row], *set(zip(at.tolist(), (at + length[a:b] - 1).tolist(), strict=True))])
                 ids = {tests.ids[i] for i in np.unique(item[a:b])} - {None}

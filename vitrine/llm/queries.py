@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import decontaminate
+from vitrine.llm import decontaminate, minhash, oracles, substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,11 +25,23 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op8_decontaminate")
+@query("op1_minhash", oracles.OP1)
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_substrings", oracles.OP4)
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed",
+                       F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op8_decontaminate", oracles.OP8)
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
                                              table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", decontaminate.hit_words().alias("n_hit"),
                         F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
-                        decontaminate.is_contaminated().alias("contaminated"), "longest", "spans")
+                        decontaminate.is_contaminated().alias("contaminated"))
