@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vitrine.llm import decontaminate, minhash, oracles, substrings
+from vitrine.llm import (
+    decontaminate,
+    forest,
+    language,
+    licences,
+    minhash,
+    mixing,
+    oracles,
+    sharding,
+    substrings,
+    token_files,
+    wrappers,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +42,24 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and domain of the labelled documents."""
+    return table(spark, sf_dir, "labels").select("doc_id", mixing.domain_of_labels().alias("domain"))
+
+
+@query("op2_mixing")
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    mixed, names = mixing.mix(docs, domains(spark, sf_dir))
+    return mixed.select("doc_id", "n_tokens", *[f"p_{d}" for d in names], "rate", "copies")
+
+
+@query("op3_licences")
+def op3_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 @query("op4_substrings", oracles.OP4)
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -37,6 +67,32 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def held_out():
+    """Documents that the language model never learns from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+@query("op5_language")
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language.identify(docs, F.col("doc_id").isNotNull() & ~held_out())
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_wrappers")
+def op6_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = wrappers.extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    uri = token_files.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.token_digests(spark, uri)
+
+
 @query("op8_decontaminate", oracles.OP8)
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -45,3 +101,15 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                         decontaminate.is_contaminated().alias("contaminated"))
+
+
+@query("op9_forest", oracles.OP9)
+def op9_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op10_sharding")
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))

@@ -29,12 +29,15 @@ def numbered(ordered: DataFrame, name: str, *group: str) -> DataFrame:
 
     Only one row for each part and group comes together, to be summed up.
     """
-    counts = ordered.groupBy("part", *group).agg(F.count("*").alias("_n"), F.min("place").alias("_least")).toPandas()
-    counts = counts.sort_values("part")
-    counts["_base"] = (counts.groupby(list(group), dropna=False)["_n"] if group else counts["_n"]).cumsum() - counts["_n"]
+    counts = ordered.groupBy("part", *group).agg(F.count("*").alias("_n"), F.min("place").alias("_least")).collect()
+    before: dict[tuple, int] = {}
+    rows = []
+    for r in sorted(counts, key=lambda r: r["part"]):
+        own = tuple(r[g] for g in group)
+        rows.append((r["part"], *own, before.get(own, 0) - r["_least"]))
+        before[own] = before.get(own, 0) + r["_n"]
     fields = [ordered.schema[g] for g in group]
     schema = T.StructType([T.StructField("part", T.IntegerType()), *fields, T.StructField("_shift", T.LongType())])
-    rows = [(int(r["part"]), *[r[g] for g in group], int(r["_base"] - r["_least"])) for _, r in counts.iterrows()]
     shift = ordered.sparkSession.createDataFrame(rows, schema)
     on = ordered["part"] == shift["part"]
     for g in group:
