@@ -80,9 +80,11 @@ def test_registers_estimate_similarity():
     x, y = (minhash.registers(np.unique(np.concatenate([shared, own]))) for own in (a, b))
     agree = float((x == y).mean())
     assert abs(agree - 0.9) < 0.12
-    assert minhash.may_link(x[None], y[None], np.array([9500]), np.array([9500]))[0]
-    assert not minhash.may_link(minhash.registers(a)[None], minhash.registers(b)[None], np.array([500]), np.array([500]))[0]
-    assert minhash.chance_collisions(np.array([500]), np.array([500]))[0] < 1e-3
+    many, few = np.array([9500]), np.array([500])
+    assert minhash.may_link(x[None], y[None], many, many, minhash.zero_counts(many), minhash.zero_counts(many))[0]
+    assert not minhash.may_link(minhash.registers(a)[None], minhash.registers(b)[None], few, few,
+                                minhash.zero_counts(few), minhash.zero_counts(few))[0]
+    assert abs(minhash.zero_counts(few).sum() - 1) < 1e-9
 
 
 def test_substrings(docs, nothing):

@@ -132,8 +132,8 @@ def _search(table: pa.Table, window: int, first: bool):
         if first:
             spans, items = [()] * part.num_rows, [()] * part.num_rows
         else:
-            spans = [[(s["first"], s["last"]) for s in x] for x in part.column("spans").to_pylist()]
-            items = part.column("items").to_pylist()
+            spans = [[(s["first"], s["last"]) for s in x] for x in part.column("_spans").to_pylist()]
+            items = part.column("_items").to_pylist()
         if tests is not None and len(words.row):
             place, length, item = search_shard(words, tests)
             order = np.argsort(words.row[place], kind="stable")
@@ -167,7 +167,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     found = docs
     for b in range(blocks):
         own = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).toArrow()
-        found = add_columns(found, FIELDS, _search(own, window, b == 0), size=SHARD_BYTES)
+        before = found.withColumnsRenamed({"spans": "_spans", "items": "_items"}) if b else found
+        found = add_columns(before, FIELDS, _search(own, window, b == 0), size=SHARD_BYTES)
+        found = found.drop("_spans", "_items") if b else found
         if b % BLOCKS_IN_ONE_STAGE == BLOCKS_IN_ONE_STAGE - 1 and b < blocks - 1:
             found = stored(found, "decontaminate")
     return found

@@ -152,7 +152,7 @@ def _compare(blocks: DataFrame, met: DataFrame, queries: DataFrame, mean: np.nda
         .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-RESULT = T.StructType.fromDDL("query_id long, rank int, vec_id long, score double")
+RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
