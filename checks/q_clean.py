@@ -68,12 +68,23 @@ def dedup_product_id(spark, sf):
     return clean.keep_first(df.select("product_id", "ingest_seq", "prix"), ["product_id"], ["ingest_seq"])
 
 
-@query("dedup_url_then_name_shop", f"""WITH {DIRTY}, a AS ({FIRST.format(key='url', src='products_dirty')}),
-b AS (SELECT * EXCLUDE (rn) FROM a) SELECT product_id, ingest_seq, url, nom, marque_vendeur FROM
+FIRST_URL = f"""a AS ({FIRST.format(key='url', src="(SELECT * FROM products_dirty WHERE url <> '')")}),
+b AS (SELECT * EXCLUDE (rn) FROM a UNION ALL BY NAME SELECT * FROM products_dirty WHERE coalesce(url, '') = '')"""
+TWO_STAGES = ("product_id", "ingest_seq", "url", "nom", "marque_vendeur")
+
+
+@query("dedup_url_then_name_shop", f"""WITH {DIRTY}, {FIRST_URL} SELECT {', '.join(TWO_STAGES)} FROM
 ({FIRST.format(key='nom, marque_vendeur', src='b')})""")
 def dedup_url_then_name_shop(spark, sf):
-    df = products_dirty(spark, sf).select("product_id", "ingest_seq", "url", "nom", "marque_vendeur")
-    return clean.dedup_url_then_name_shop(df, ["ingest_seq"])
+    return clean.dedup_url_then_name_shop(products_dirty(spark, sf).select(*TWO_STAGES), ["ingest_seq"])
+
+
+@query("dedup_url_then_name_shop_strict", f"""WITH {DIRTY}, a AS ({FIRST.format(key='url', src='products_dirty')}),
+b AS (SELECT * EXCLUDE (rn) FROM a) SELECT {', '.join(TWO_STAGES)} FROM ({FIRST.format(key='nom, marque_vendeur', src='b')})""")
+def dedup_url_then_name_shop_strict(spark, sf):
+    """The blank url as one ordinary key."""
+    df = products_dirty(spark, sf).select(*TWO_STAGES)
+    return clean.dedup_url_then_name_shop(df, ["ingest_seq"], strict=True)
 
 
 @query("dedup_union_url", f"""WITH {DIRTY} SELECT product_id, ingest_seq, url FROM products_dirty WHERE url = ''
@@ -141,8 +152,7 @@ def clean_products(spark, sf):
     return _rounded(df.select(*CLEAN_COLS), MED)
 
 
-@query("clean_consolidated", f"""WITH {DIRTY}, a AS ({FIRST.format(key='url', src='products_dirty')}),
-b AS (SELECT * EXCLUDE (rn) FROM a), c AS ({FIRST.format(key='nom, marque_vendeur', src='b')})
+@query("clean_consolidated", f"""WITH {DIRTY}, {FIRST_URL}, c AS ({FIRST.format(key='nom, marque_vendeur', src='b')})
 SELECT product_id, coalesce({_num('prix')}, 0e0) AS prix, coalesce({_num('rating')}, 0e0) AS rating,
 CAST(trunc(coalesce({_num('nb_reviews')}, 0e0)) AS INTEGER) AS nb_reviews FROM c""")
 def clean_consolidated(spark, sf):

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from vitrine.functions.numeric import half_even
-from vitrine.operators import cluster_metrics, clustering, dbscan, features
+from vitrine.operators import cluster_metrics, clustering, components, dbscan, features
 from vitrine.operators.scaling import zscore_columns
 
-from .fixtures import products
+from .fixtures import products, table
 from .oracle_views import PRODUCTS, mean, np_round
 from .q_clean import SEGMENT
 from .registry import query
@@ -30,6 +30,15 @@ labels AS (SELECT product_id, CAST(CASE WHEN product_id IN (FROM core) THEN 1 EL
 LABELS = LABELS.replace("WITH", "")
 
 
+@query("connected_components", """SELECT o_orderkey AS id, min(o_orderkey) OVER (PARTITION BY o_custkey) AS comp FROM orders""")
+def connected_components(spark, sf):
+    """Each customer's orders form a chain by date, in which order keys lie in no particular order."""
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    before = F.lag("o_orderkey").over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
+    edges = orders.select(F.col("o_orderkey").alias("a"), before.alias("b")).where("b is not null")
+    return components.connected_components(orders.select(F.col("o_orderkey").alias("id")), edges)
+
+
 def zframe(spark, sf):
     return zscore_columns(products(spark, sf), CL)
 

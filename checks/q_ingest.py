@@ -73,6 +73,36 @@ def shop_json_quarantine(spark, sf):
     return store_json.quarantined(shop(spark, sf)).select("product_id", "nom")
 
 
+def damaged_shop_pages(spark, sf):
+    """The landed pages, and for each store a truncated page, a missing one and one with damaged items."""
+    good = '{"id": 1, "title": "fine", "variants": [{"price": "2.5", "inventory_quantity": 3}]}'
+    items = [good, "null", '{"id": 2, "variants": "none"}', '{"id": 3, "variants": {"price": "1"}}',
+             '{"id": 4, "title": "many", "variants": [{"price": "1", "inventory_quantity": 99999999999}]}']
+    bodies = [(9001, '{"products": [' + good + ", " + good[:20]), (9002, None), (9003, '{"products": [' + ", ".join(items) + "]}"),
+              (9004, '{"products": []}')]
+    planted = F.explode(F.array(*[F.struct(F.lit(p).alias("page"), F.lit(b).cast("string").alias("body")) for p, b in bodies]))
+    stores = landed.stores(spark, sf).select(F.col("name").alias("store"), planted.alias("x")).select("store", "x.page", "x.body")
+    return landed.shop_pages(spark, sf).unionByName(stores)
+
+
+@query("page_quarantine", f"""WITH {STORES_SQL}, planted(page, pos, reason) AS (VALUES (9001, 0, 'unparsable document'),
+(9002, 0, 'no document'), (9003, 1, 'null item'), (9003, 2, 'malformed item'), (9003, 3, 'malformed item'))
+SELECT name AS store, page, pos, reason FROM stores, planted""")
+def page_quarantine(spark, sf):
+    return store_json.faulty(store_json.shop_items(damaged_shop_pages(spark, sf))).drop("body")
+
+
+@query("page_accounting", f"""WITH {BASE}, {SHOP_SQL}, landed AS (SELECT count(*) AS n FROM shop_rows),
+bad AS (SELECT count(*) AS n FROM shop_rows WHERE pid % 97 = 0 AND pid % 7 <> 0), shops AS (SELECT count(*) AS n FROM stores)
+SELECT true AS is_valid, landed.n - bad.n + shops.n AS items FROM landed, bad, shops
+UNION ALL SELECT false, bad.n + 6 * shops.n FROM bad, shops""")
+def page_accounting(spark, sf):
+    """Accepted and quarantined rows; together they are what landed. A stock beyond any count is quarantined."""
+    pages = damaged_shop_pages(spark, sf)
+    rows = store_json.shop_rows(store_json.attach_store(store_json.shop_items(pages), landed.stores(spark, sf)))
+    return rows.groupBy("is_valid").agg(F.count("*").alias("items"))
+
+
 @query("shop_json_double_discount", f"""WITH {BASE}, {SHOP_SQL} SELECT product_id, prix, CASE WHEN remise_pct = 0 THEN prix
 ELSE {np_round('prix * (1e0 - remise_pct / 1e2)', 2)} END AS prix_promo, remise_pct FROM shop_rows {GOOD}""")
 def shop_json_double_discount(spark, sf):

@@ -129,6 +129,26 @@ def stratified_folds(spark, sf):
     return splits.stratified_folds(labelled(spark, sf).select("product_id", "y"), "y", "product_id")
 
 
+def labelled_text(spark, sf):
+    """Products with the text ids that ingestion gives."""
+    return labelled(spark, sf).select(F.col("product_id").cast("string").alias("product_id"), "y")
+
+
+TEXT_HASHED = HASHED.replace("product_id)", "CAST(product_id AS VARCHAR))")
+
+
+@query("stratified_split_text", f"WITH {LABELLED}, {TEXT_HASHED} SELECT CAST(product_id AS VARCHAR) AS product_id, y, "
+       "CASE WHEN pos * 5 < n THEN 1 ELSE 0 END AS is_test FROM hashed")
+def stratified_split_text(spark, sf):
+    return splits.stratified_split(labelled_text(spark, sf), "y", "product_id")
+
+
+@query("stratified_folds_text", f"WITH {LABELLED}, {TEXT_HASHED} SELECT CAST(product_id AS VARCHAR) AS product_id, y, "
+       "CAST(pos * 5 // n AS INTEGER) AS fold FROM hashed")
+def stratified_folds_text(spark, sf):
+    return splits.stratified_folds(labelled_text(spark, sf), "y", "product_id")
+
+
 @query("class_weights", f"""WITH {LABELLED}, c AS (SELECT y AS label, COUNT(*) AS n FROM labelled GROUP BY y)
 SELECT label, n, {np_round('(SELECT CAST(SUM(n) AS DOUBLE) FROM c) / ((SELECT COUNT(*) FROM c) * n)', 6)} AS balanced,
 {np_round('(SELECT CAST(n AS DOUBLE) FROM c WHERE label = 0) / (SELECT n FROM c WHERE label = 1)', 6)} AS scale_pos_weight FROM c""")

@@ -44,15 +44,16 @@ def clip(value: Column, low=None, high=None) -> Column:
 
 
 def truncate_int(value: Column) -> Column:
-    """Missing to 0, then truncate towards zero."""
-    return F.coalesce(value, F.lit(0.0)).cast("int")
+    """Missing and out of range to 0, then truncate towards zero."""
+    return F.coalesce(value.try_cast("int"), F.lit(0))
 
 
 def steady_mean(value: Column) -> Column:
-    """Mean over a fixed-point sum (6 places): the same for any partitioning.
+    """Mean that is the same for any partitioning.
 
-    A floating-point sum depends on the order of its terms, which flips means
-    that sit on a rounding edge.
+    A floating-point sum depends on the order of its terms, which flips means that sit on a rounding edge. Values are
+    summed as decimals of 12 places; where one is too large or too small for that, the plain average is taken.
     """
-    total = F.sum(value.cast("decimal(18,6)")).cast("double")
-    return F.try_divide(total, F.count(value))
+    fixed = F.when(F.abs(value) < 1e15, value).try_cast("decimal(28,12)")
+    exact = F.count(value) == F.count(F.when((F.abs(value) < 1e15) & ((value == 0) | (F.abs(value) >= 1e-6)), 1))
+    return F.when(exact, F.try_divide(F.try_sum(fixed).cast("double"), F.count(value))).otherwise(F.avg(value.cast("double")))

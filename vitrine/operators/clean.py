@@ -24,9 +24,13 @@ def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return df.withColumn("rn__", F.row_number().over(window)).where("rn__ = 1").drop("rn__")
 
 
-def dedup_url_then_name_shop(df: DataFrame, order: list[str], shop: str = "marque_vendeur") -> DataFrame:
-    """First by url, then by (name, shop) among the survivors."""
-    return keep_first(keep_first(df, ["url"], order), ["nom", shop], order)
+def dedup_url_then_name_shop(df: DataFrame, order: list[str], shop: str = "marque_vendeur",
+                             strict: bool = False) -> DataFrame:
+    """First by url, then by (name, shop) among the survivors.
+
+    Rows without a url are not taken for copies of each other unless ``strict``.
+    """
+    return keep_first(dedup_by_url(df, order, strict), ["nom", shop], order)
 
 
 def dedup_by_url(df: DataFrame, order: list[str], strict: bool = False) -> DataFrame:
@@ -38,10 +42,7 @@ def dedup_by_url(df: DataFrame, order: list[str], strict: bool = False) -> DataF
     if strict:
         return keep_first(df, ["url"], order)
     blank = F.coalesce(F.col("url"), F.lit("")) == ""
-    # A blank url gets its own key from the order columns, so it never groups.
-    own = F.when(blank, F.concat_ws("|", *[F.col(c).cast("string") for c in order]))
-    keyed = df.withColumns({"url_key__": F.when(~blank, F.col("url")), "own_key__": own})
-    return keep_first(keyed, ["url_key__", "own_key__"], order).drop("url_key__", "own_key__")
+    return keep_first(df.where(~blank), ["url"], order).unionByName(df.where(blank))
 
 
 def dedup_report(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -125,7 +126,7 @@ def clean_dashboard(df: DataFrame) -> DataFrame:
         "rating": clip(F.coalesce(numeric_column(df, "rating"), F.lit(0.0)), 0.0, 5.0),
         "nb_reviews": truncate_int(numeric_column(df, "nb_reviews")),
         "prix": F.coalesce(numeric_column(df, "prix"), F.lit(0.0)),
-        "en_stock": numeric_column(df, "en_stock").cast("int"),
+        "en_stock": numeric_column(df, "en_stock").try_cast("int"),
     })
 
 

@@ -31,7 +31,7 @@ def _part(df: DataFrame, label: str, key: str, seed: str, cuts: list[Fraction])
     record = per_class.agg(F.map_from_entries(F.collect_list(F.struct("class", "starts")))).scalar()
     own = F.struct(hash52(seed, F.col(key)).alias("hash"), F.col(key).alias("key"))
     marks = F.coalesce(F.try_element_at(F.col("starts__"), F.col(label)),
-                       F.array().cast("array<struct<hash:bigint,key:bigint>>"))
+                       F.array().cast(f"array<struct<hash:bigint,key:{df.schema[key].dataType.simpleString()}>>"))
     passed = F.size(F.filter(marks, lambda s: s <= own))
     return attach(df, record, "starts__"), passed
 

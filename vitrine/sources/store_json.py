@@ -44,10 +44,19 @@ def first_option(options: Column, values: str, *names: str) -> Column:
 
 
 def variant_stock(variants: Column) -> Column:
-    """Units over all variants, not below 0."""
-    units = F.transform(variants, lambda v: F.coalesce(parse_number(v["inventory_quantity"]), F.lit(0.0)).cast("long"))
-    total = F.aggregate(F.coalesce(units, F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda a, x: a + x)
-    return F.greatest(total, F.lit(0).cast("long")).cast("int")
+    """Units over all variants, not below 0; NULL where they are beyond any count."""
+    def units(variant: Column) -> Column:
+        value = F.coalesce(parse_number(variant["inventory_quantity"]), F.lit(0.0))
+        return F.when(F.abs(value) < 2.0 ** 31, value).cast("long")
+
+    listed = F.coalesce(F.transform(variants, units), F.array().cast("array<bigint>"))
+    total = F.aggregate(listed, F.lit(0).cast("long"), lambda a, x: a + x)
+    return F.when(total.isNotNull(), F.greatest(total, F.lit(0).cast("long"))).try_cast("int")
+
+
+def _count(text: Column) -> Column:
+    """Count text as int, 0 where blank, NULL where malformed or out of range."""
+    return F.when(_blank(text), 0).otherwise(_amount(text).try_cast("int"))
 
 
 def variant_available(variants: Column) -> Column:
@@ -57,25 +66,56 @@ def variant_available(variants: Column) -> Column:
 
 
 def explode_pages(pages: DataFrame, schema: str, items: str | None) -> DataFrame:
-    """One row per item with its position; documents that do not parse give none."""
-    parsed = F.from_json("body", schema)
-    listed = parsed[items] if items else parsed
-    return pages.select(*[c for c in pages.columns if c != "body"], F.posexplode(listed).alias("pos", "item"))
+    """One row per item with its position, its text (``raw``) and what is wrong with it (``fault``, else NULL).
+
+    ``schema`` is that of an item. A list of items without a name (``items`` None) is a bare array. A document that does
+    not parse gives one row without an item, so that nothing landed gets lost: items of faultless rows, items with a fault
+    and whole documents with a fault add up to what has landed. Empty lists give no row.
+    """
+    name = items or "items"
+    body = F.col("body") if items else F.concat(F.lit('{"items":'), F.col("body"), F.lit("}"))
+    outer = F.from_json(body, f"struct<{name}:array<string>,damaged__:string>", {"columnNameOfCorruptRecord": "damaged__"})
+    rest = [c for c in pages.columns if c != "body"]
+    opened = pages.select(*rest, "body", outer.alias("outer"))
+    broken = F.col("body").isNull() | F.col("outer.damaged__").isNotNull()
+    whole = opened.where(broken).select(
+        *rest, F.lit(0).alias("pos"), F.col("body").alias("raw"),
+        F.when(F.col("body").isNull(), "no document").otherwise("unparsable document").alias("fault"))
+    single = opened.where(~broken).select(*rest, F.posexplode(f"outer.{name}").alias("pos", "raw")).withColumn(
+        "fault", F.when(F.col("raw").isNull(), "null item"))
+    return _with_item(whole.unionByName(single), schema)
+
+
+def _with_item(rows: DataFrame, schema: str) -> DataFrame:
+    """Parse ``raw`` to ``item``; fields of another type than the schema's are a fault."""
+    inner = f"{schema.strip()[:-1]},damaged__:string>"
+    item = F.when(F.col("fault").isNull(), F.from_json("raw", inner, {"columnNameOfCorruptRecord": "damaged__"}))
+    parsed = rows.withColumn("item", item)
+    return parsed.withColumn("fault", F.coalesce("fault", F.when(F.col("item.damaged__").isNotNull(), "malformed item")))
 
 
 def shop_items(pages: DataFrame) -> DataFrame:
-    return explode_pages(pages, schemas.SHOP_PAGE, "products")
+    return explode_pages(pages, schemas.SHOP_ITEM, "products")
 
 
 def shop_documents(docs: DataFrame) -> DataFrame:
-    """Single-product documents; an empty envelope gives no row."""
-    rows = docs.select(*[c for c in docs.columns if c != "body"],
-                       F.from_json("body", schemas.SHOP_DOCUMENT)["product"].alias("item"))
-    return rows.where(F.col("item").isNotNull()).withColumn("pos", F.lit(0))
+    """Single-product documents; an empty envelope gives no row, one that does not parse a row with a fault."""
+    outer = F.from_json("body", "struct<product:string,damaged__:string>", {"columnNameOfCorruptRecord": "damaged__"})
+    broken = F.col("body").isNull() | F.col("outer.damaged__").isNotNull()
+    rows = docs.withColumn("outer", outer).select(
+        *[c for c in docs.columns if c != "body"], F.lit(0).alias("pos"),
+        F.when(broken, F.col("body")).otherwise(F.col("outer.product")).alias("raw"),
+        F.when(F.col("body").isNull(), "no document").when(broken, "unparsable document").alias("fault"))
+    return _with_item(rows.where(F.col("raw").isNotNull() | F.col("fault").isNotNull()), schemas.SHOP_ITEM)
 
 
 def woo_items(pages: DataFrame) -> DataFrame:
-    return explode_pages(pages, schemas.WOO_PAGE, None)
+    return explode_pages(pages, schemas.WOO_ITEM, None)
+
+
+def faulty(items: DataFrame) -> DataFrame:
+    """Documents and items that can't be read, with the reason and the text that landed."""
+    return items.where(F.col("fault").isNotNull()).select("store", "page", "pos", F.col("fault").alias("reason"), F.col("raw").alias("body"))
 
 
 def shop_rows(items: DataFrame, double_discount: bool = False) -> DataFrame:
@@ -89,13 +129,15 @@ def shop_rows(items: DataFrame, double_discount: bool = False) -> DataFrame:
     # Parsed once here; the projection below only combines the results.
     items = items.withColumns({
         "price_text": first["price"], "compare_text": first["compare_at_price"],
-        "price_value": _amount(first["price"]), "compare_value": _amount(first["compare_at_price"])})
+        "price_value": _amount(first["price"]), "compare_value": _amount(first["compare_at_price"]),
+        "stock_value": variant_stock(item["variants"])})
     price = F.coalesce(F.col("price_value"), F.lit(0.0))
     items = items.withColumn("percent", effective_discount(F.coalesce(F.col("compare_value"), price), price))
     percent = F.col("percent")
     promo = F.when(percent == 0, price).otherwise(promo_price(price, percent)) if double_discount else price
     valid = (_blank(F.col("price_text")) | F.col("price_value").isNotNull()) \
-        & (_blank(F.col("compare_text")) | F.col("compare_value").isNotNull())
+        & (_blank(F.col("compare_text")) | F.col("compare_value").isNotNull()) \
+        & F.col("stock_value").isNotNull() & F.col("fault").isNull()
     return items.select(
         "store", "page", "pos",
         F.coalesce(item["id"], F.lit("")).alias("product_id"),
@@ -109,7 +151,7 @@ def shop_rows(items: DataFrame, double_discount: bool = False) -> DataFrame:
         F.lit("USD").alias("devise"),
         F.lit(0.0).alias("rating"), F.lit(0).alias("nb_reviews"),
         variant_available(item["variants"]).alias("en_stock"),
-        variant_stock(item["variants"]).alias("quantite_stock"),
+        F.coalesce("stock_value", F.lit(0)).alias("quantite_stock"),
         F.lit(5).alias("delai_livraison_j"),
         first_option(item["options"], "values", "color", "colour").alias("couleur"),
         first_option(item["options"], "values", "size").alias("taille"),
@@ -129,10 +171,10 @@ def woo_rows(items: DataFrame) -> DataFrame:
     list_text = F.when(~_blank(item["regular_price"]), item["regular_price"]).otherwise(item["price"])
     price = F.coalesce(_amount(list_text), F.lit(0.0))
     sale = F.coalesce(_amount(item["sale_price"]), price)
-    stock = F.coalesce(_amount(item["stock_quantity"]), F.lit(0.0)).cast("int")
+    stock = F.coalesce(_count(item["stock_quantity"]), F.lit(0))
     available = F.coalesce(F.lower(item["in_stock"]) == "true", stock > 0)
-    texts = [list_text, item["sale_price"], item["average_rating"], item["rating_count"], item["stock_quantity"]]
-    valid = F.lit(True)
+    texts = [list_text, item["sale_price"], item["average_rating"]]
+    valid = F.col("fault").isNull() & _count(item["rating_count"]).isNotNull() & _count(item["stock_quantity"]).isNotNull()
     for text in texts:
         valid = valid & (_blank(text) | _amount(text).isNotNull())
     return items.select(
@@ -147,7 +189,7 @@ def woo_rows(items: DataFrame) -> DataFrame:
         price.alias("prix"), sale.alias("prix_promo"), effective_discount(price, sale).alias("remise_pct"),
         F.lit("EUR").alias("devise"),
         F.coalesce(_amount(item["average_rating"]), F.lit(0.0)).alias("rating"),
-        F.coalesce(_amount(item["rating_count"]), F.lit(0.0)).cast("int").alias("nb_reviews"),
+        F.coalesce(_count(item["rating_count"]), F.lit(0)).alias("nb_reviews"),
         available.cast("int").alias("en_stock"), stock.alias("quantite_stock"),
         F.lit(5).alias("delai_livraison_j"),
         first_option(item["attributes"], "options", "color", "couleur").alias("couleur"),

@@ -62,7 +62,7 @@ def import_external(df: DataFrame, kind: str, order: list[str], limit: int | Non
         "prix": F.coalesce(numeric_column(full, "prix"), F.lit(0.0)),
         "rating": clip(F.coalesce(numeric_column(full, "rating"), F.lit(0.0)), 0.0, 5.0),
         "nb_reviews": truncate_int(numeric_column(full, "nb_reviews")),
-        "en_stock": numeric_column(full, "en_stock").cast("int"),
+        "en_stock": numeric_column(full, "en_stock").try_cast("int"),
         "top_produit": _flag(full, "top_produit"),
         "product_id": F.col("product_id").cast("string"),
     })
@@ -74,7 +74,7 @@ def import_external(df: DataFrame, kind: str, order: list[str], limit: int | Non
 def _flag(df: DataFrame, name: str):
     """0/1 from numbers or from the texts true / false."""
     text = F.lower(F.col(name).cast("string"))
-    return F.when(text == "true", 1).when(text == "false", 0).otherwise(numeric_column(df, name).cast("int"))
+    return F.when(text == "true", 1).when(text == "false", 0).otherwise(numeric_column(df, name).try_cast("int"))
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:
