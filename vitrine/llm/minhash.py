@@ -6,8 +6,9 @@ ten mantissa bits behind them. Bands of four registers propose pairs; the Jaccar
 for chance collisions of compressed values, drops the clear misses; what is left is compared on full sets.
 
 Pairs inside a hot bucket are never listed. Equal sets collapse first. Each bucket then links its members to its
-smallest member. Only where a bucket still spans several components are pairs across those components examined, in
-blocks of bounded size, so that no link between different texts is lost to the shortcut.
+most central member. Only where a bucket still spans several components are its members compared across those
+components, in pairs of blocks of bounded size that give only the links found, so that no link between different texts is
+lost to the shortcut.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ REGISTER_BITS, MANTISSA_BITS = 7, 10
 REGISTERS, BAND = 1 << REGISTER_BITS, 4
 EMPTY = np.uint16(0xFFFF)
 DEVIATIONS = 5               # an estimate so many standard deviations below the threshold is a clear miss
-BLOCK = 256                  # members of a bucket that are compared with as many others at a time
+BLOCK = 1024                 # members of a bucket that are compared with as many others at a time
 
 
 def shingle_sets(words: W.Words) -> Iterator[np.ndarray]:
@@ -77,30 +78,30 @@ def band_keys(matrix: np.ndarray) -> np.ndarray:
     return W.mix(packed * W.constants(packed.shape[1], 59)[None, :] + np.arange(packed.shape[1], dtype=np.uint64)[None, :])
 
 
-def chance_collisions(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of registers that agree by chance, for disjoint sets of ``a`` and ``b`` elements."""
-    zeros = np.arange(54)[:, None]
+def zero_counts(size: np.ndarray) -> np.ndarray:
+    """Distribution of a register's leading zeros for sets of ``size`` elements, sets x counts."""
+    zeros = np.arange(54)[None, :]
+    each = np.maximum(size, 1)[:, None] / REGISTERS
+    return (1 - 2.0 ** -(zeros + 1)) ** each - (1 - 2.0 ** -zeros) ** each
 
-    def density(size: np.ndarray) -> np.ndarray:
-        each = np.maximum(size, 1)[None, :] / REGISTERS
-        return (1 - 2.0 ** -(zeros + 1)) ** each - (1 - 2.0 ** -zeros) ** each
 
-    return (density(a) * density(b)).sum(axis=0) / (1 << MANTISSA_BITS)
-
-
-def may_link(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray) -> np.ndarray:
-    """False for pairs that sizes or the corrected estimate rule out."""
+def may_link(x: np.ndarray, y: np.ndarray, size_x: np.ndarray, size_y: np.ndarray,
+             zeros_x: np.ndarray, zeros_y: np.ndarray) -> np.ndarray:
+    """False for pairs that sizes or the Jaccard estimate, corrected for chance collisions, rule out."""
     either = (x != EMPTY) | (y != EMPTY)
     used = np.maximum(either.sum(axis=-1), 1)
     agree = ((x == y) & either).sum(axis=-1) / used
-    shape = agree.shape
-    chance = chance_collisions(np.broadcast_to(size_x, shape).ravel(), np.broadcast_to(size_y, shape).ravel()).reshape(shape)
-    estimate = (agree - chance) / (1 - chance)
-    goal = PERCENT / 100
+    chance = (zeros_x * zeros_y).sum(axis=-1) / (1 << MANTISSA_BITS)
+    estimate, goal = (agree - chance) / (1 - chance), PERCENT / 100
     near = estimate >= goal - DEVIATIONS * np.sqrt(goal * (1 - goal) / used)
     return near & (100 * np.minimum(size_x, size_y) >= PERCENT * np.maximum(size_x, size_y))
 
 
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= PERCENT * (len(x) + len(y) - both)
+
+
 SKETCH = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("digest_1", pa.int64()), ("digest_2", pa.int64()),
                     ("registers", pa.binary())])
 
@@ -140,7 +141,7 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, REGISTERS)
                   for c in ("regs_a", "regs_b")]
         size = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("size_a", "size_b")]
-        near = pa.array(may_link(*sketch, *size))
+        near = pa.array(may_link(*sketch, *size, *(zero_counts(n) for n in size)))
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(near), batch.column("b").filter(near)], ["a", "b"])
 
 
@@ -149,44 +150,49 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         link = []
         for x, y in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            link.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            link.append(linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)))
         link = pa.array(link, pa.bool_())
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(link), batch.column("b").filter(link)], ["a", "b"])
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Two blocks of a bucket, to pairs of different components that the estimate lets through."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            sides = []
-            for block in (row["left"], row["right"]):
-                sides.append((np.array([m["doc_id"] for m in block], np.int64), np.array([m["comp"] for m in block], np.int64),
-                              np.array([m["n_shingles"] for m in block], np.int64),
-                              np.frombuffer(b"".join(m["registers"] for m in block), np.uint16).reshape(-1, REGISTERS)))
-            (id_a, comp_a, size_a, regs_a), (id_b, comp_b, size_b, regs_b) = sides
-            a, b = [], []
-            for i in range(len(id_a)):
-                other = comp_b != comp_a[i]
-                if row["same"]:
-                    other &= id_b > id_a[i]
-                other = np.flatnonzero(other)
-                near = other[may_link(regs_a[i][None, :], regs_b[other], size_a[i], size_b[other])] if len(other) else other
-                a.extend([id_a[i]] * len(near))
-                b.extend(id_b[near])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def _verify(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of ``pairs`` that link on their full shingle sets."""
-    pairs = stored(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = stored(emit_rows(docs.join(wanted.hint("shuffle_hash"), "doc_id", "left_semi"),
+def _link_blocks(key: tuple, table: pa.Table) -> pa.Table:
+    """Links between different components of two blocks of a bucket.
+
+    A pair belongs to the first band that its documents share, so it is compared in one bucket only. Components that a
+    link has joined are not compared further.
+    """
+    band, first, second = (k.as_py() for k in key)
+    ids, comps, blocks = (table[c].to_numpy() for c in ("doc_id", "comp", "block"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in table["shingles"]]
+    regs = np.stack([registers(x) for x in sets])
+    keys, size = band_keys(regs).astype(np.int64), np.array([len(x) for x in sets])
+    zeros = zero_counts(size)
+    root = {c: c for c in comps.tolist()}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = c = root[root[c]]
+        return c
+
+    right, found = np.flatnonzero(blocks == second), []
+    for i in np.flatnonzero(blocks == first).tolist():
+        other = right[right > i] if first == second else right
+        other = other[comps[other] != comps[i]]
+        other = other[may_link(regs[i], regs[other], size[i], size[other], zeros[i], zeros[other])]
+        shared = keys[i][None, :] == keys[other]
+        other = other[keys[i][shared.argmax(axis=1)] == band] if len(other) else other
+        for j in other.tolist():
+            x, y = find(int(comps[i])), find(int(comps[j]))
+            if x != y and linked(sets[i], sets[j]):
+                root[y] = x
+                found.append((int(ids[i]), int(ids[j])))
+    return pa.table({"a": pa.array([max(f) for f in found], pa.int64()), "b": pa.array([min(f) for f in found], pa.int64())})
+
+
+def _sets_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
+    """Full shingle sets of the documents whose doc_id is in ``wanted``."""
+    return stored(emit_rows(docs.join(wanted.distinct().hint("shuffle_hash"), "doc_id", "left_semi"),
                             "doc_id long, shingles binary", _sets), "sets")
-    joined = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a") \
-        .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-    return stored(joined.mapInArrow(_verified, "a long, b long"), "links")
 
 
 def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -199,35 +205,41 @@ def find_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     reps = stored(usable.groupBy(*same).agg(F.min("doc_id").alias("doc_id"), F.any_value("registers").alias("registers")),
                   "representatives")
     bands = stored(reps.select("doc_id", "registers").mapInArrow(_bands, "band long, doc_id long"), "bands")
-    leads = bands.groupBy("band").agg(F.min("doc_id").alias("b"), F.max("doc_id").alias("_last")).where("b < _last")
-    proposed = bands.join(leads.select("band", "b"), "band").where(F.col("doc_id") > F.col("b")) \
-        .select(F.col("doc_id").alias("a"), "b").distinct()
+    crowds = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(bands.join(crowds, "band"), "shared")
+
+    # A bucket's lead is its most central member: an unchanged original shares more, and fuller, buckets than its copies.
+    central = shared.groupBy("doc_id").agg(F.sum("n").alias("crowd"))
+    leads = shared.join(central, "doc_id").groupBy("band").agg(
+        F.max(F.struct("crowd", (-F.col("doc_id")).alias("minus"))).alias("best")).select("band", (-F.col("best.minus")).alias("lead"))
+    proposed = shared.join(leads, "band").where(F.col("doc_id") != F.col("lead")).select(
+        F.greatest("doc_id", "lead").alias("a"), F.least("doc_id", "lead").alias("b")).distinct()
 
     def side(name: str) -> DataFrame:
         return reps.select(F.col("doc_id").alias(name), F.col("n_shingles").alias(f"size_{name}"),
                            F.col("registers").alias(f"regs_{name}"))
 
-    near = proposed.join(side("a"), "a").join(side("b"), "b").mapInArrow(_estimated, "a long, b long").distinct()
-    links = _verify(near, docs)
+    near = stored(proposed.join(side("a"), "a").join(side("b"), "b").mapInArrow(_estimated, "a long, b long").distinct(), "pairs")
+    sets = _sets_of(near.select(F.col("a").alias("doc_id")).unionByName(near.select(F.col("b").alias("doc_id"))), docs)
+    links = stored(near.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+                   .join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b")), "b")
+                   .mapInArrow(_verified, "a long, b long").distinct(), "links")
     nodes = reps.select(F.col("doc_id").alias("id")).distinct()
     comps = stored(connected_components(nodes, links).withColumnRenamed("id", "doc_id"), "components")
 
     # Buckets that still span several components: compare across them, block against block.
-    open_ = bands.join(comps, "doc_id")
+    open_ = shared.join(comps, "doc_id")
     spans = open_.groupBy("band").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y"), F.count("*").alias("_n")) \
-        .where("_x < _y").select("band", F.ceil(F.col("_n") / BLOCK).alias("_blocks"))
-    members = stored(open_.join(spans, "band").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("_blocks"))), "members")
-    blocks = stored(members.join(reps.select("doc_id", "n_shingles", "registers"), "doc_id").groupBy("band", "block", "_blocks")
-                    .agg(F.collect_list(F.struct("doc_id", "comp", "n_shingles", "registers")).alias("left")), "blocks")
-    pairs = blocks.select("band", "block", "left", F.explode(F.sequence("block", F.col("_blocks") - 1)).alias("other")).join(
-        blocks.select("band", F.col("block").alias("other"), F.col("left").alias("right")), ["band", "other"])
-    across = pairs.select("left", "right", (F.col("block") == F.col("other")).alias("same")) \
-        .mapInArrow(_across, "a long, b long").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")) \
-        .distinct().join(near.select("a", "b"), ["a", "b"], "left_anti")
-    more = _verify(across, docs)
-    links = links.unionByName(more)
-    merged = comps if more.isEmpty() else connected_components(nodes, links).withColumnRenamed("id", "doc_id")
-    return sketches, reps.join(merged, "doc_id"), links
+        .where("_x < _y").select("band", F.ceil(F.col("_n") / BLOCK).alias("blocks"))
+    members = stored(open_.join(spans, "band").select(
+        "band", "doc_id", "comp", "blocks", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).alias("block")), "members")
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    meeting = members.withColumn("other", other).select(
+        "band", F.least("block", "other").alias("first"), F.greatest("block", "other").alias("second"), "doc_id", "comp", "block")
+    more = stored(meeting.join(_sets_of(members.select("doc_id"), docs), "doc_id").groupBy("band", "first", "second")
+                  .applyInArrow(_link_blocks, "a long, b long"), "links")
+    merged = comps if more.isEmpty() else connected_components(nodes, links.unionByName(more)).withColumnRenamed("id", "doc_id")
+    return sketches, reps.join(merged, "doc_id"), links.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
