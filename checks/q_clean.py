@@ -217,7 +217,7 @@ def encode_wide_labels(spark, sf):
     """Rank encoding of a column with as many values as rows (range partitioned route)."""
     from vitrine.operators.ordering import value_codes
     df = products(spark, sf).select("product_id", "url")
-    codes = value_codes(df, ["url"], small=100)
+    codes = value_codes(df, ["url"])
     return df.join(codes, df["url"] == codes["value"]).select("product_id", F.col("code").alias("url_code"))
 
 

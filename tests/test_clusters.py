@@ -95,6 +95,20 @@ def test_components_of_a_chain(spark):
     assert all(comps[i] == 0 for i in range(50)) and all(comps[i] == i for i in range(50, 60))
 
 
+def chain_and_star(n, seed):
+    """A chain with shuffled ids, and a hub with as many leaves."""
+    ids = np.random.default_rng(seed).permutation(n).tolist()
+    return [(ids[i], ids[i + 1]) for i in range(n - 1)] + [(n + n // 2, n + i) for i in range(n) if i != n // 2]
+
+
+def test_components_take_few_rounds(spark):
+    n = 10_000
+    edges = spark.createDataFrame(chain_and_star(n, 5), "a long, b long")
+    stars, rounds = components.contract(edges)
+    assert {(r.a, r.b) for r in stars.collect()} == {(i, 0) for i in range(1, n)} | {(n + i, n) for i in range(1, n)}
+    assert rounds < 3 * np.log2(n)
+
+
 def brute_silhouette(points, labels, power):
     d = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1)) ** power
     scores = []

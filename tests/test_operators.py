@@ -13,11 +13,13 @@ def frame(spark, rows, schema):
     return spark.createDataFrame(rows, schema)
 
 
-@pytest.fixture(params=["window", "range"])
-def order_route(request, monkeypatch):
-    """Run a test on both routes of the ordering primitive."""
-    monkeypatch.setattr(ordering, "SMALL_ROWS", 10 ** 6 if request.param == "window" else -1)
-    return request.param
+@pytest.fixture(params=["merged", "many slabs"])
+def order_route(request, spark):
+    """Run a test with few slabs of the ordering primitive and with many."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, str(request.param == "merged").lower())
+    yield request.param
+    spark.conf.unset(key)
 
 
 def test_keep_first_uses_order(spark):
@@ -75,9 +77,8 @@ def test_row_positions_and_codes(spark, order_route):
     ranked = ordering.row_positions(df, ["g"], ["v"], "pos").collect()
     assert all(r.pos == r.v // 3 for r in ranked)
     words = frame(spark, [("b",), ("a",), ("Éa",), ("nan",), ("a",)], "w string")
-    small = {r.value: r.code for r in ordering.value_codes(words, ["w"]).collect()}
-    large = {r.value: r.code for r in ordering.value_codes(words, ["w"], small=1).collect()}
-    assert small == large == {"a": 0, "b": 1, "nan": 2, "Éa": 3}
+    codes = {r.value: r.code for r in ordering.value_codes(words, ["w"]).collect()}
+    assert codes == {"a": 0, "b": 1, "nan": 2, "Éa": 3}
 
 
 def test_scalers(spark):

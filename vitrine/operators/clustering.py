@@ -46,14 +46,14 @@ def kmeans_segments(matrix: DataFrame, k: int = 3, restarts: int = 10, seed: int
 def name_clusters(df: DataFrame, cluster: str = "cluster_kmeans", k: int = 3, price: str = "prix") -> DataFrame:
     """Add ``cluster_label``: three clusters are named by ascending mean price, others by id.
 
-    The name table has k rows, so it is broadcast.
+    The planner broadcasts the table of names by its size.
     """
     if k != len(SEGMENT_NAMES):
         return df.withColumn("cluster_label", F.col(cluster).cast("string"))
     means = df.groupBy(F.col(cluster).alias("id__")).agg(steady_mean(F.col(price)).alias("mean__"))
     rank = F.row_number().over(Window.orderBy("mean__", "id__"))
     named = means.select("id__", F.try_element_at(F.array(*[F.lit(n) for n in SEGMENT_NAMES]), rank).alias("name__"))
-    joined = df.join(F.broadcast(named), F.col(cluster) == F.col("id__"), "left")
+    joined = df.join(named, F.col(cluster) == F.col("id__"), "left")
     label = F.coalesce(F.col("name__"), F.col(cluster).cast("string"))
     return joined.withColumn("cluster_label", label).drop("id__", "name__")
 
@@ -112,7 +112,3 @@ def evaluate_clusters(labelled: DataFrame, cluster: str, scaled: list[str]) -> D
     """One row: squared silhouette and Davies-Bouldin index."""
     index = davies_bouldin(labelled, cluster, scaled).scalar()
     return silhouette_squared(labelled, cluster, scaled).withColumn("davies_bouldin", index)
-
-
-def empty_clusters(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "product_id string, cluster_kmeans int, cluster_label string")

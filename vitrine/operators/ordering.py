@@ -1,10 +1,10 @@
 """Global order without an unbounded single-task window.
 
-``running_totals`` is the one primitive: store the pre-aggregated rows; if they
-are few, order them in one window; otherwise range-partition on the order,
-checkpoint so that slab membership is a stored fact, and add each slab's offset
-to a per-slab running sum. A group holding a third of all rows
-is spread over many slabs because the slab boundaries ignore group borders.
+``running_totals`` is the one primitive: range-partition the pre-aggregated rows
+on the order, store them so that slab membership is a fact, and add each slab's
+offset to a per-slab running sum. A group holding a third of all rows is spread
+over many slabs because the slab boundaries ignore group borders. Few rows make
+few slabs, as adaptive execution merges small partitions.
 """
 
 from __future__ import annotations
@@ -13,10 +13,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import broadcast_if_small, cut_lineage
+from ..session import store_table
 
 _SLAB = "slab__"
-SMALL_ROWS = 50_000
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -29,38 +28,20 @@ def running_totals(df: DataFrame, by: list[str], order: list[Column],
 
     ``totals`` maps an output name to the summed column. For every entry the
     result has ``<name>_before``, ``<name>_upto`` and the group's ``<name>_all``.
-    ``df`` should be pre-aggregated. It is stored once; up to ``SMALL_ROWS``
-    rows are ordered by a plain window, more take one range shuffle.
+    ``df`` should be pre-aggregated. It takes one range shuffle and is stored once.
     """
-    stored = cut_lineage(df)
-    if stored.count() <= SMALL_ROWS:
-        return _window_totals(stored, by, order, totals)
-    return _range_totals(stored, by, order, totals)
-
-
-def _window_totals(df: DataFrame, by: list[str], order: list[Column], totals: dict[str, str]) -> DataFrame:
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    run = group.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = df.select("*", *[F.sum(c).over(run).alias(f"{n}_upto") for n, c in totals.items()],
-                       *[F.sum(c).over(group).alias(f"{n}_all") for n, c in totals.items()])
-    return summed.select(*df.columns, *[
-        column for n, c in totals.items()
-        for column in ((F.col(f"{n}_upto") - F.col(c)).alias(f"{n}_before"), F.col(f"{n}_upto"), F.col(f"{n}_all"))])
-
-
-def _range_totals(df: DataFrame, by: list[str], order: list[Column], totals: dict[str, str]) -> DataFrame:
     slabs = df.repartitionByRange(*[F.col(b) for b in by], *order)
-    slabs = cut_lineage(slabs.withColumn(_SLAB, F.spark_partition_id()))
+    slabs = store_table(slabs.withColumn(_SLAB, F.spark_partition_id()), "slabs")
     per_slab = slabs.groupBy(*by, _SLAB).agg(
         *[F.sum(column).alias(f"{name}_slab") for name, column in totals.items()])
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
     earlier = group.orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
     # One row per slab and group: at most (partitions + groups) rows in total.
-    offsets = broadcast_if_small(per_slab.select(
+    offsets = store_table(per_slab.select(
         *by, _SLAB,
         *[F.coalesce(F.sum(f"{n}_slab").over(earlier), F.lit(0)).alias(f"{n}_off") for n in totals],
         *[F.sum(f"{n}_slab").over(group).alias(f"{n}_all") for n in totals],
-    ))
+    ), "offsets")
     within = Window.partitionBy(*by, _SLAB).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = slabs.select("*", *[F.sum(c).over(within).alias(f"{n}_run") for n, c in totals.items()])
     joined = local.join(offsets, _same(local, offsets, [*by, _SLAB]))
@@ -168,20 +149,13 @@ def filled_quantile_record(ranks: DataFrame, column: str, wanted: dict[str, floa
     return rows.agg(F.struct(*fields).alias("record")).scalar()
 
 
-def value_codes(df: DataFrame, columns: list[str], small: int = 10_000) -> DataFrame:
+def value_codes(df: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct values of every column with their 0-based code-point rank.
 
-    Long form ``column``, ``value``, ``code`` from one pass over ``df``. The
-    distinct pairs are stored, so the size check does not read ``df`` again:
-    up to ``small`` pairs rank in one window and are broadcast, more take the
-    range partitioned route.
+    Long form ``column``, ``value``, ``code`` from one pass over ``df``, stored.
     """
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns
     ])).alias("pair")).select("pair.*").distinct()
-    pairs = cut_lineage(pairs)
-    if pairs.count() <= small:
-        code = F.row_number().over(Window.partitionBy("column").orderBy("value")) - 1
-        return F.broadcast(pairs.select("column", "value", code.cast("int").alias("code")))
     ranked = row_positions(pairs, ["column"], ["value"], "code")
-    return ranked.select("column", "value", F.col("code").cast("int").alias("code"))
+    return store_table(ranked.select("column", "value", F.col("code").cast("int").alias("code")), "codes")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import half_even, steady_mean
 from ..functions.text import product_line
-from ..session import broadcast_if_small
+from ..session import store_table
 from .ordering import quantiles
 from .topk import rank_top
 
@@ -128,7 +128,7 @@ def price_boxplot(df: DataFrame) -> DataFrame:
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     fenced = boxes.withColumns({"low_fence": F.col("q1") - reach, "high_fence": F.col("q3") + reach})
     inside = F.col("prix").between(F.col("low_fence"), F.col("high_fence"))
-    fenced = broadcast_if_small(fenced)  # one row per category
+    fenced = store_table(fenced, "boxes")  # one row per category
     return df.select("categorie", "prix").join(fenced, "categorie").groupBy("categorie").agg(
         *[half_even(F.max(c), 4).alias(c) for c in ("q1", "median", "q3")],
         F.min(F.when(inside, F.col("prix"))).alias("whisker_low"),
@@ -187,16 +187,9 @@ def market_context(scored: DataFrame, top: int = 10, categories: int = 7) -> Dat
     return facts.unionByName(best).unionByName(spread)
 
 
-def empty_report(spark: SparkSession, columns: str) -> DataFrame:
-    """Typed empty frame for operators whose input is empty."""
-    return spark.createDataFrame([], columns)
-
-
 # Display names of the ranking table.
 TOP_LABELS = {"rank": "Rang", "nom": "Produit", "categorie": "Catégorie", "marque_vendeur": "Shop",
               "pays_shop": "Pays", "prix": "Prix", "rating": "Note", "nb_reviews": "Avis", "topk_score": "Score"}
-SHOP_LABELS = {"marque_vendeur": "Shop", "score_moyen": "Score Moyen", "nb_produits": "Nb Produits",
-               "rating_moyen": "Note Moyenne"}
 
 
 def display(df: DataFrame, labels: dict[str, str]) -> DataFrame:

@@ -93,23 +93,6 @@ EXTERNAL_DEFAULTS = {
     "score_attractivite": 0.0,
 }
 
-# Stores of the collector: url, name, country, default category.
-STORES = [
-    ("https://www.kyliecosmetics.com", "KylieCosmetics", "USA", "Beauty"),
-    ("https://jeffreestarcosmetics.com", "JeffreeStar", "USA", "Beauty"),
-    ("https://www.colourpop.com", "ColourPop", "USA", "Beauty"),
-    ("https://www.allbirds.com", "Allbirds", "USA", "Fashion"),
-    ("https://www.tentree.com", "Tentree", "CAN", "Fashion"),
-    ("https://birdies.com", "Birdies", "USA", "Fashion"),
-    ("https://www.puravidabracelets.com", "PuraVida", "USA", "Fashion"),
-    ("https://www.aloyoga.com", "AloYoga", "USA", "Sport"),
-    ("https://www.cotopaxi.com", "Cotopaxi", "USA", "Sport"),
-    ("https://www.brooklinen.com", "Brooklinen", "USA", "Home"),
-    ("https://deathwishcoffee.com", "DeathWishCoffee", "USA", "Food"),
-    ("https://www.harney.com", "HarneySons", "USA", "Food"),
-]
-STORE_SCHEMA = "url string, name string, pays string, cat string"
-
 # Product-type words per category; the order decides the first match.
 CATEGORY_WORDS = {
     "Beauty": [

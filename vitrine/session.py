@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -30,13 +31,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where neither that
-    setting nor a checkpoint folder exists (tests, a laptop) is one made here.
+    The cluster names it in ``spark.checkpoint.dir``. Where neither that setting
+    nor a checkpoint folder exists, a local session gets a temporary folder; on a
+    cluster that is an error, as executors would not see each other's files.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
     if current is None:
+        if named is None and not re.match(r"local(\[|$)", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="vitrine-"))
         current = context.getCheckpointDir()
     return named or current
@@ -53,11 +57,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """Store a table that should be small; broadcast it only if it is.
+def store_table(df: DataFrame, label: str = "table") -> DataFrame:
+    """``df`` as columnar files in the shared folder.
 
-    Above ``limit`` rows the stored table is returned without a hint, and the
-    join shuffles both sides (adaptive execution splits hot keys).
+    The planner knows the bytes of a stored table and broadcasts it only below
+    the session's threshold; above, joins shuffle and adaptive execution splits
+    hot keys.
     """
-    stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.count() <= limit else stored
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
