@@ -126,20 +126,20 @@ def matrix(spark, sf, names=None):
 
 @query("kmeans_segments")
 def kmeans_segments(spark, sf):
-    rows, _ = clustering.kmeans_segments(matrix(spark, sf)[0], 3, restarts=3)
+    rows, _ = clustering.kmeans_segments(matrix(spark, sf)[0], 3)
     return rows.select("product_id", "cluster_kmeans", "cluster_label")
 
 
 @query("kmeans_dashboard")
 def kmeans_dashboard(spark, sf):
-    rows, _ = clustering.kmeans_segments(matrix(spark, sf, clustering.DASHBOARD_FEATURES)[0], 4, restarts=2)
+    rows, _ = clustering.kmeans_segments(matrix(spark, sf, clustering.DASHBOARD_FEATURES)[0], 4)
     return clustering.cluster_profile(rows, "cluster_kmeans", clustering.DASHBOARD_FEATURES)
 
 
 @query("elbow")
 def elbow(spark, sf):
     frame, scaled = matrix(spark, sf)
-    return clustering.elbow(frame, scaled, k_max=5, restarts=1)
+    return clustering.elbow(frame, scaled)
 
 
 @query("hierarchical_segments")

@@ -34,7 +34,7 @@ def analysis_topk(spark, sf):
 
 @query("full_clustering")
 def full_clustering(spark, sf):
-    run = flows.full_clustering(products(spark, sf), k_max=3, restarts=1)
+    run = flows.full_clustering(products(spark, sf))
     return run.rows.select("product_id", "cluster_kmeans", "cluster_label", "cluster_hierarch", "dbscan_label",
                            "is_anomalie", "PC1", "PC2")
 

@@ -66,7 +66,7 @@ def cluster_profile(df: DataFrame, cluster: str, features: list[str] | None = No
     return df.groupBy(cluster).agg(*[half_even(steady_mean(F.col(c)), 2).alias(c) for c in names])
 
 
-def elbow(matrix: DataFrame, scaled: list[str], k_max: int = 8, restarts: int = 10, seed: int = 42,
+def elbow(matrix: DataFrame, scaled: list[str], k_max: int = 10, restarts: int = 10, seed: int = 42,
           exact: bool = False, key: str = "product_id") -> DataFrame:
     """Inertia and silhouette for k = 2..k_max.
 

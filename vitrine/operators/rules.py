@@ -6,6 +6,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import half_even
+from ..session import store_table
 from ..sources.tables import write_table
 
 ITEMSET_SCHEMA = "items string, size int, freq long, support double"
@@ -65,6 +66,13 @@ def run_association_analysis(df: DataFrame, group: str, item: str, min_support:
                              sink: str | None = None) -> DataFrame:
     """Baskets of real groups to rules, with an optional CSV sink."""
     rules = association_rules(build_baskets(df, group, item), min_support, min_confidence, min_lift)
-    if sink:
-        write_table(rules, sink, "csv")
-    return rules
+    return with_sink(rules, sink)
+
+
+def with_sink(df: DataFrame, sink: str | None) -> DataFrame:
+    """``df``, written to the CSV folder ``sink`` if one is given; it is then computed once and returned stored."""
+    if not sink:
+        return df
+    stored = store_table(df, "sunk")
+    write_table(stored, sink, "csv")
+    return stored

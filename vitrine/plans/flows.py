@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import classify, clean, clustering, features, reports, rules, scoring, topk
 from ..operators.dbscan import anomaly_summary, dbscan
-from ..session import cut_lineage
+from ..session import cut_lineage, store_table
 from ..sources.tables import union_sources, write_table
 
 
 def topk_report(df: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     """Global, per-category and per-shop selections plus statistics of one score."""
-    scored = scoring.topk_score(df)
+    scored = store_table(scoring.topk_score(df), "scored")
     return {
         "global": topk.rank_top(scored, k),
         "by_category": topk.rank_top_by(scored, "categorie", 5, "rank_in_category"),
@@ -35,9 +37,7 @@ def consolidate(sources: list[DataFrame], order: list[str], sink: str | None = N
     """
     merged = union_sources(*number_sources(sources))
     result = clean.clean_consolidated(merged, ["source_no", *order])
-    if sink:
-        write_table(result, sink, "csv")
-    return result
+    return rules.with_sink(result, sink)
 
 
 def ingest(sources: list[DataFrame], order: list[str], strict: bool = False,
@@ -50,9 +50,7 @@ def ingest(sources: list[DataFrame], order: list[str], strict: bool = False,
     merged = union_sources(*number_sources(sources))
     unique = cut_lineage(clean.dedup_by_url(merged, ["source_no", *order], strict=strict))
     result = scoring.score_collected(unique)
-    if sink:
-        write_table(result, sink, "csv")
-    return result
+    return rules.with_sink(result, sink)
 
 
 @dataclass
@@ -60,25 +58,29 @@ class ClusterRun:
     """Rows with every cluster column, and the small tables that describe them."""
 
     rows: DataFrame
-    elbow: DataFrame
+    measure_elbow: Callable[[], DataFrame]
     profile: DataFrame
     quality: DataFrame
     loadings: DataFrame
     anomalies: DataFrame
 
+    @cached_property
+    def elbow(self) -> DataFrame:
+        """Inertia and silhouette by number of clusters; many models are fitted, when it is first asked for."""
+        return self.measure_elbow()
+
 
-def full_clustering(df: DataFrame, key: str = "product_id", k: int = 3, k_max: int = 8, restarts: int = 10,
+def full_clustering(df: DataFrame, key: str = "product_id", k: int = 3, k_max: int = 10, restarts: int = 10,
                     eps: float = 1.0, min_samples: int = 15) -> ClusterRun:
     """Elbow, k-means, hierarchy, density anomalies and projection of one cached matrix."""
     matrix, scaled = clustering.feature_matrix(df)
     matrix = matrix.cache()
-    curve = clustering.elbow(matrix, scaled, k_max, restarts, key=key)
     rows, _ = clustering.kmeans_segments(matrix, k, restarts)
     rows = clustering.hierarchical_segments(rows, k)
     density = dbscan(matrix, key, scaled, eps, min_samples)
     rows, loadings = clustering.pca_2d(rows.join(density.drop("is_core"), key), scaled)
     return ClusterRun(
-        rows=rows.drop("features", *scaled), elbow=curve,
+        rows=rows.drop("features", *scaled), measure_elbow=lambda: clustering.elbow(matrix, scaled, k_max, restarts, key=key),
         profile=clustering.cluster_profile(rows, "cluster_kmeans"),
         quality=clustering.evaluate_clusters(rows, "cluster_kmeans", scaled),
         loadings=loadings, anomalies=anomaly_summary(density))
