@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,10 +25,12 @@ from vitrine.llm.store import stored
 
 TARGETS = {"high": 0.9, "low": 0.1, "toxic": 0.0}
 TRAINING_ROWS = 20_000     # bound of the labelled rows that fit the classifier
-FEATURES = 1 << 16
+FEATURES = 1 << 17
+PENALTY = 1e-3
+BEGINNINGS = (3, 5)         # characters of a word's beginning
 STEPS = 12                 # passes over the table at most
 TOLERANCE = 1e-4           # relative distance of domain totals from their targets
-WORDS = r"[^\p{L}\p{N}]+"
+TOKENS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 
 
 def domain_of_labels() -> Column:
@@ -39,12 +41,19 @@ def domain_of_labels() -> Column:
 def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame, list[str]]:
     """``docs`` with ``n_tokens`` and ``p_<domain>`` for each domain of ``labelled`` (doc_id, domain).
 
-    The classifier is a multinomial logistic regression on normalised hashed word counts of the whole text, fitted on at
-    most ``TRAINING_ROWS`` labelled documents, those of the smallest hashes of doc_id. With a single domain its
-    probability is 1 everywhere; without any labelled document there is one domain, ``all``.
+    The classifier is a multinomial logistic regression on hashed counts of the whole text: its distinct tokens (words and
+    runs of signs) and their beginnings, with marks for texts in capitals and texts of few distinct tokens. An L1 penalty
+    leaves out the many rare words. It is fitted on at most ``TRAINING_ROWS`` labelled documents, those of the smallest hashes of doc_id. With
+    a single domain its probability is 1 everywhere; without any labelled document there is one domain, ``all``.
     """
-    words = F.filter(F.split(F.lower(F.coalesce("text", F.lit(""))), WORDS), lambda w: w != "")
-    featured = docs.withColumn("_words", words).withColumn("n_tokens", F.size("_words").cast("long"))
+    text = F.coalesce("text", F.lit(""))
+    listed = docs.withColumn("_words", F.regexp_extract_all(F.lower(text), F.lit(TOKENS), F.lit(0)))
+    capitals = F.when(2 * F.regexp_count(text, F.lit(r"\p{Lu}")) > F.length(text), "<capitals>")
+    few = F.when(F.size("_words") > 4 * F.size(F.array_distinct("_words")), "<few distinct>")
+    begins = [F.transform("_distinct", lambda w, n=n: F.concat(F.lit(f"<{n}>"), F.left(w, F.lit(n)))) for n in BEGINNINGS]
+    featured = listed.withColumns({"n_tokens": F.size("_words").cast("long"), "_distinct": F.array_distinct("_words"),
+                                   "_marks": F.array_compact(F.array(capitals, few))}) \
+        .withColumn("_words", F.concat("_distinct", *begins, "_marks")).drop("_distinct", "_marks")
     named = labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isNotNull()) \
         .groupBy("doc_id").agg(F.min("domain").alias("domain"))
     order = F.xxhash64("doc_id")
@@ -56,10 +65,10 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame,
         return featured.withColumn(f"p_{domains[0]}", F.lit(1.0)).drop("_words"), domains
     index = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
     model = Pipeline(stages=[
-        HashingTF(inputCol="_words", outputCol="_counts", numFeatures=FEATURES),
-        Normalizer(inputCol="_counts", outputCol="_features"),
+        HashingTF(inputCol="_words", outputCol="_features", numFeatures=FEATURES),
         LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_p", predictionCol="_best",
-                           rawPredictionCol="_raw", family="multinomial", maxIter=40, regParam=1e-5),
+                           rawPredictionCol="_raw", family="multinomial", maxIter=50, standardization=False,
+                           elasticNetParam=1.0, regParam=PENALTY),
     ]).fit(training.withColumn("_label", index.cast("double")))
     scored = model.transform(featured).withColumn("_p", vector_to_array("_p"))
     return scored.select(*docs.columns, "n_tokens", *[F.col("_p")[i].alias(f"p_{d}") for i, d in enumerate(domains)]), domains
