@@ -7,11 +7,14 @@ rate x tokens x probability, meet the targets in the least squares.
 A step moves every rate by the same function of the document's probabilities, so the rates after any number of steps
 follow from the sequence of K-vectors of residuals, K being the number of domains. The distributed state is therefore the
 table of tokens and probabilities; each step is one pass over it that replays the residuals so far and sums up K numbers.
+The gradient of a rate is scaled by 1 / (tokens x sum of probability x tokens of the domain), the longest steps that surely
+descend: a document of a small domain moves as fast as one of a large domain.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ TRAINING_ROWS = 20_000     # bound of the labelled rows that fit the classifier
 FEATURES = 1 << 17
 PENALTY = 1e-3
 BEGINNINGS = (3, 5)         # characters of a word's beginning
-STEPS = 12                 # passes over the table at most
+STEPS = 60                 # passes over the table at most
 TOLERANCE = 1e-4           # relative distance of domain totals from their targets
 TOKENS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
 
@@ -74,12 +77,21 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame,
     return scored.select(*docs.columns, "n_tokens", *[F.col("_p")[i].alias(f"p_{d}") for i, d in enumerate(domains)]), domains
 
 
-def replay(shares: np.ndarray, start: float, moves: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the given accelerated projected-gradient steps, and the point where the next gradient is taken."""
-    rate = ahead = np.full(len(shares), start)
-    momentum = 1.0
-    for move in moves:
-        after = np.maximum(0.0, ahead - shares @ move)
+@dataclass
+class Fit:
+    """State of a fit: the common first rate, expected tokens of the domains at rate 1, residuals of the steps so far."""
+
+    start: float
+    there: np.ndarray
+    residuals: list[np.ndarray]
+
+
+def replay(shares: np.ndarray, fit: Fit) -> tuple[np.ndarray, np.ndarray]:
+    """Rates after the accelerated projected-gradient steps so far, and the point where the next gradient is taken."""
+    rate = ahead = np.full(len(shares), fit.start)
+    momentum, scale = 1.0, np.maximum(shares @ fit.there, 1e-300)
+    for residual in fit.residuals:
+        after = np.maximum(0.0, ahead - shares @ residual / scale)
         following = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
         ahead = after + (momentum - 1) / following * (after - rate)
         rate, momentum = after, following
@@ -91,46 +103,42 @@ def _numbers(batch: pa.RecordBatch, domains: list[str]) -> tuple[np.ndarray, np.
         np.stack([batch.column(f"p_{d}").to_numpy(zero_copy_only=False) for d in domains], axis=1)
 
 
-def fit_rates(weighted: DataFrame, domains: list[str], targets: dict[str, float]) -> tuple[float, list[np.ndarray]]:
-    """Starting rate and moves of the fit over ``weighted`` (n_tokens, p_<domain>).
+def fit_rates(weighted: DataFrame, domains: list[str], targets: dict[str, float]) -> Fit:
+    """The fit over ``weighted`` (n_tokens, p_<domain>).
 
     The budget is the smallest at which no domain with a target has to be cut: the largest ratio of its expected tokens to
     its weight. Without tokens or targets all rates stay 1.
     """
     k = len(domains)
 
-    def sums(measure, width: int) -> np.ndarray:
+    def totals(rates) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(width)
+            total = np.zeros(k)
             for batch in batches:
-                total += measure(*_numbers(batch, domains))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(width)), pa.array(total)], ["i", "total"])
+                tokens, shares = _numbers(batch, domains)
+                total += shares.T @ (tokens * rates(shares))
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), pa.array(total)], ["i", "total"])
 
-        rows = weighted.mapInArrow(run, "i long, total double").groupBy("i").agg(F.sum("total").alias("total")).collect()
-        out = np.zeros(width)
-        for r in rows:
+        out = np.zeros(k)
+        for r in weighted.mapInArrow(run, "i long, total double").groupBy("i").agg(F.sum("total").alias("total")).collect():
             out[r["i"]] = r["total"]
         return out
 
-    there = sums(lambda t, p: p.T @ t, k)
-    weight = np.array([max(0.0, targets.get(d, 0.0)) for d in domains])
-    if not there.sum() or not (weight * there).any():
-        return 1.0, []
-    weight = np.where(there > 0, weight, 0)
+    there = totals(lambda shares: 1.0)
+    weight = np.array([max(0.0, targets.get(d, 0.0)) if n > 0 else 0.0 for d, n in zip(domains, there, strict=True)])
+    if not weight.any():
+        return Fit(1.0, there, [])
     weight /= weight.sum()
     budget = float((there[weight > 0] / weight[weight > 0]).max())
-    goal = weight * budget
-    gram = sums(lambda t, p: ((p * t[:, None]).T @ p).ravel(), k * k).reshape(k, k)
-    # Residuals are weighed by the inverse Gram matrix and rates by 1 / tokens; in these scales a gradient step of
-    # length 1 is the longest that surely descends, so few steps are enough.
-    solve = np.linalg.pinv(gram, rcond=1e-9)
-    start, moves = budget / float(there.sum()), []
+    fit, before = Fit(budget / float(there.sum()), there, []), None
     for _ in range(STEPS):
-        total = sums(lambda t, p: p.T @ (t * replay(p, start, moves)[1]), k)  # noqa: B023
-        if np.abs(total - goal).max() <= TOLERANCE * budget:
+        residual = totals(lambda shares: replay(shares, fit)[1]) - weight * budget
+        if np.abs(residual).max() <= TOLERANCE * budget \
+                or before is not None and np.abs(residual - before).max() <= TOLERANCE * TOLERANCE * budget:
             break
-        moves.append(solve @ (total - goal))
-    return start, moves
+        fit.residuals.append(residual)
+        before = residual
+    return fit
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None) -> tuple[DataFrame, list[str]]:
@@ -145,11 +153,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     scored, domains = domain_posteriors(docs.select(*names), labelled)
     key = F.xxhash64("doc_id", "text")
     kept = stored(scored.withColumn("_key", key), "posteriors")
-    start, moves = fit_rates(kept, domains, targets or TARGETS)
+    fit = fit_rates(kept, domains, targets or TARGETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rate, _ = replay(_numbers(batch, domains)[1], start, moves)
+            rate, _ = replay(_numbers(batch, domains)[1], fit)
             chance = (batch.column("_key").to_numpy(zero_copy_only=False) >> 11 & ((1 << 53) - 1)) / float(1 << 53)
             copies = (np.floor(rate) + (chance < rate - np.floor(rate))).astype(np.int64)
             copies = np.where(rate >= 0.5, np.maximum(copies, 1), copies)
