@@ -29,14 +29,15 @@ from vitrine.session import scratch_path
 
 END_ID = 1
 NO_ID = -(1 << 63)
-CACHE_WORDS = 400_000   # distinct words that a worker remembers before it starts anew
+CACHE_WORDS = 800_000   # distinct pieces that a worker remembers before it starts anew
 
 
 class WordEncoder:
-    """Ids of texts, encoding each distinct word once.
+    """Ids of texts, encoding each distinct piece of a word once.
 
-    The tokenizer splits at white space before anything else and treats every word alike wherever it stands, so the ids
-    of a text are those of its words in a row.
+    A lower-casing tokenizer of words splits at white space, and between letters and signs, before anything else, and
+    treats every piece alike wherever it stands; so the ids of a text are those of its pieces in a row. Any other
+    tokenizer gets whole texts.
     """
 
     def __init__(self, tokenizer_json: str):
@@ -44,6 +45,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        parts = json.loads(tokenizer_json)
+        self.by_pieces = "Lowercase" in json.dumps(parts.get("normalizer")) and bool(parts["model"].get("end_of_word_suffix"))
         self._clear()
 
     def _clear(self) -> None:
@@ -67,7 +70,11 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and the number of ids of each text."""
-        words = W.split(texts, W.SPACED)
+        if not self.by_pieces:
+            encoded = self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
+            ids = [[*e.ids, end_id] for e in encoded]
+            return np.array([i for own in ids for i in own], np.uint32), np.array([len(own) for own in ids], np.int64)
+        words = pieces(texts)
         distinct, first, which = np.unique(words.hash, return_index=True, return_inverse=True)
         if len(self.known) + len(distinct) > CACHE_WORDS:
             self._clear()
@@ -88,6 +95,35 @@ class WordEncoder:
         return out, counts
 
 
+_CODES = np.arange(256)
+_LETTER = ((_CODES >= 0x41) & (_CODES <= 0x5A)) | ((_CODES >= 0x61) & (_CODES <= 0x7A))
+_SIGN = (_CODES > 0x20) & (_CODES < 0x7F) & ~_LETTER & ~((_CODES >= 0x30) & (_CODES <= 0x39)) & (_CODES != 0x27)
+
+
+def pieces(texts: pa.Array) -> W.Words:
+    """Words of a lower-casing tokenizer, cut further between ASCII letters and signs.
+
+    Words with an apostrophe or with the beginning of a special token are not cut; only words of ASCII bytes are
+    lower-cased, as a letter before a combining mark must reach the tokenizer as it is.
+    """
+    data, offsets = W.text_bytes(texts)
+    if not len(data):
+        return W.split_bytes(data, offsets, W.SPACED)
+    inside = W.SPACED[data]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    begins[offsets[:-1][offsets[:-1] < len(data)]] = True
+    run = np.cumsum(begins, dtype=np.int32)
+    special = run[:-1][(data[:-1] == ord("<")) & (data[1:] == ord("|"))]
+    whole, as_is = np.zeros(int(run[-1]) + 1, bool), np.zeros(int(run[-1]) + 1, bool)
+    whole[run[data == 0x27]] = whole[special] = as_is[special] = True
+    as_is[run[data >= 0x80]] = True
+    letter, sign = _LETTER[data], _SIGN[data]
+    cuts = np.zeros(len(data) + 1, bool)
+    cuts[1:-1] = ((letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])) & ~whole[run[1:]]
+    return W.split_bytes(np.where(as_is[run], data, W.LOWER[data]), offsets, W.SPACED, cuts=cuts)
+
+
 class Folder:
     """A folder of token files."""
 

@@ -81,12 +81,15 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[tuple[int, int
 
 
 def split_bytes(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, case: np.ndarray = KEEP_CASE,
-                hashed: bool = True) -> Words:
+                hashed: bool = True, cuts: np.ndarray | None = None) -> Words:
+    """Words of rows given as bytes; ``cuts`` marks further places between bytes where a word ends."""
     data = data if case is KEEP_CASE else case[data]
     inside = np.zeros(len(data) + 2, bool)
     inside[1:-1] = kind[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
+    if cuts is not None:
+        edge |= cuts
     change = inside[1:] != inside[:-1]
     start = np.flatnonzero((change | edge)[:-1] & inside[1:-1]) if len(data) else np.zeros(0, np.int64)
     end = np.flatnonzero((change | edge)[1:] & inside[1:-1]) + 1 if len(data) else np.zeros(0, np.int64)
