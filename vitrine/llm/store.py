@@ -4,14 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from vitrine.session import scratch_path
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: later stages restart from files."""
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from vitrine.session import store_table as stored
 
 
 def stored_in_order(df: DataFrame, label: str, *order: str, parts: int | None = None) -> DataFrame:
