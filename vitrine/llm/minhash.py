@@ -251,7 +251,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     sketches, reps, _ = find_links(docs.select("doc_id", "text"))
     same = ["n_shingles", "digest_1", "digest_2"]
-    of_set = reps.select(*same, "comp").groupBy(*same).agg(F.min("comp").alias("comp"))
+    # Stored, so that adaptive execution can split the join where many rows have one set.
+    of_set = stored(reps.groupBy(*same).agg(F.min("comp").alias("comp")), "sets-components")
     joined = sketches.drop("registers").join(of_set, same, "left")
     comp = F.coalesce("comp", "doc_id")
     return joined.select("doc_id", "n_shingles", comp.alias("component_id"),
