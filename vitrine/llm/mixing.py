@@ -18,7 +18,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -28,9 +27,9 @@ from vitrine.llm.store import stored
 
 TARGETS = {"high": 0.9, "low": 0.1, "toxic": 0.0}
 TRAINING_ROWS = 20_000     # bound of the labelled rows that fit the classifier
-FEATURES = 1 << 17
+FEATURES = 1 << 15
 PENALTY = 1e-3
-BEGINNINGS = (3, 5)         # characters of a word's beginning
+BEGINNING = 5              # characters of a word's beginning
 STEPS = 60                 # passes over the table at most
 TOLERANCE = 1e-4           # relative distance of domain totals from their targets
 TOKENS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
@@ -41,39 +40,40 @@ def domain_of_labels() -> Column:
     return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "high").when(F.col("quality") == 0, "low")
 
 
+def with_tokens(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_tokens`` and ``_words``: distinct tokens of the whole text, their beginnings, and marks."""
+    text = F.coalesce("text", F.lit(""))
+    listed = docs.withColumn("_words", F.regexp_extract_all(F.lower(text), F.lit(TOKENS), F.lit(0))) \
+        .withColumns({"n_tokens": F.size("_words").cast("long"), "_distinct": F.array_distinct("_words")})
+    capitals = F.when(2 * F.regexp_count(text, F.lit(r"\p{Lu}")) > F.length(text), "<capitals>")
+    few = F.when(F.col("n_tokens") > 4 * F.size("_distinct"), "<few distinct>")
+    begins = F.transform("_distinct", lambda w: F.concat(F.lit("<begin>"), F.left(w, F.lit(BEGINNING))))
+    return listed.withColumn("_words", F.concat("_distinct", begins, F.array_compact(F.array(capitals, few)))).drop("_distinct")
+
+
 def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame, list[str]]:
     """``docs`` with ``n_tokens`` and ``p_<domain>`` for each domain of ``labelled`` (doc_id, domain).
 
-    The classifier is a multinomial logistic regression on hashed counts of the whole text: its distinct tokens (words and
-    runs of signs) and their beginnings, with marks for texts in capitals and texts of few distinct tokens. An L1 penalty
-    leaves out the many rare words. It is fitted on at most ``TRAINING_ROWS`` labelled documents, those of the smallest hashes of doc_id. With
-    a single domain its probability is 1 everywhere; without any labelled document there is one domain, ``all``.
+    The classifier is a multinomial logistic regression on hashed counts of ``with_tokens``. An L1 penalty leaves out the
+    many rare words. It is fitted on at most ``TRAINING_ROWS`` labelled documents, those of the smallest hashes of doc_id.
+    With a single domain its probability is 1 everywhere; without any labelled document there is one domain, ``all``.
     """
-    text = F.coalesce("text", F.lit(""))
-    listed = docs.withColumn("_words", F.regexp_extract_all(F.lower(text), F.lit(TOKENS), F.lit(0)))
-    capitals = F.when(2 * F.regexp_count(text, F.lit(r"\p{Lu}")) > F.length(text), "<capitals>")
-    few = F.when(F.size("_words") > 4 * F.size(F.array_distinct("_words")), "<few distinct>")
-    begins = [F.transform("_distinct", lambda w, n=n: F.concat(F.lit(f"<{n}>"), F.left(w, F.lit(n)))) for n in BEGINNINGS]
-    featured = listed.withColumns({"n_tokens": F.size("_words").cast("long"), "_distinct": F.array_distinct("_words"),
-                                   "_marks": F.array_compact(F.array(capitals, few))}) \
-        .withColumn("_words", F.concat("_distinct", *begins, "_marks")).drop("_distinct", "_marks")
+    hashing = HashingTF(inputCol="_words", outputCol="_features", numFeatures=FEATURES)
     named = labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isNotNull()) \
         .groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    order = F.xxhash64("doc_id")
-    training = stored(featured.where(F.col("n_tokens") > 0).select("doc_id", "_words").join(
-        named.orderBy(order, "doc_id").limit(TRAINING_ROWS), "doc_id").select("_words", "domain"), "training")
+    known = F.broadcast(named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS))  # bounded rows of two short columns
+    training = with_tokens(docs.select("doc_id", "text").join(known, "doc_id")).where("n_tokens > 0")
+    training = stored(hashing.transform(training).select("_features", "domain"), "training")
     domains = [r["domain"] for r in training.select("domain").distinct().orderBy("domain").collect()]
+    featured = with_tokens(docs)
     if len(domains) < 2:
         domains = domains or ["all"]
         return featured.withColumn(f"p_{domains[0]}", F.lit(1.0)).drop("_words"), domains
     index = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
-    model = Pipeline(stages=[
-        HashingTF(inputCol="_words", outputCol="_features", numFeatures=FEATURES),
-        LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_p", predictionCol="_best",
-                           rawPredictionCol="_raw", family="multinomial", maxIter=50, standardization=False,
-                           elasticNetParam=1.0, regParam=PENALTY),
-    ]).fit(training.withColumn("_label", index.cast("double")))
-    scored = model.transform(featured).withColumn("_p", vector_to_array("_p"))
+    model = LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_p", predictionCol="_best",
+                               rawPredictionCol="_raw", family="multinomial", maxIter=30, standardization=False,
+                               elasticNetParam=1.0, regParam=PENALTY).fit(training.withColumn("_label", index.cast("double")))
+    scored = model.transform(hashing.transform(featured)).withColumn("_p", vector_to_array("_p"))
     return scored.select(*docs.columns, "n_tokens", *[F.col("_p")[i].alias(f"p_{d}") for i, d in enumerate(domains)]), domains
 
 
@@ -110,6 +110,7 @@ def fit_rates(weighted: DataFrame, domains: list[str], targets: dict[str, float]
     its weight. Without tokens or targets all rates stay 1.
     """
     k = len(domains)
+    weighted = weighted.select("n_tokens", *[f"p_{d}" for d in domains])
 
     def totals(rates) -> np.ndarray:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,12 +118,10 @@ def fit_rates(weighted: DataFrame, domains: list[str], targets: dict[str, float]
             for batch in batches:
                 tokens, shares = _numbers(batch, domains)
                 total += shares.T @ (tokens * rates(shares))
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(k)), pa.array(total)], ["i", "total"])
+            yield pa.RecordBatch.from_arrays([pa.array([x]) for x in total], [f"t{i}" for i in range(k)])
 
-        out = np.zeros(k)
-        for r in weighted.mapInArrow(run, "i long, total double").groupBy("i").agg(F.sum("total").alias("total")).collect():
-            out[r["i"]] = r["total"]
-        return out
+        parts = weighted.mapInArrow(run, ", ".join(f"t{i} double" for i in range(k)))
+        return np.array([x or 0.0 for x in parts.agg(*[F.sum(f"t{i}") for i in range(k)]).first()])
 
     there = totals(lambda shares: 1.0)
     weight = np.array([max(0.0, targets.get(d, 0.0)) if n > 0 else 0.0 for d, n in zip(domains, there, strict=True)])
@@ -141,8 +140,9 @@ def fit_rates(weighted: DataFrame, domains: list[str], targets: dict[str, float]
     return fit
 
 
-def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None) -> tuple[DataFrame, list[str]]:
-    """``docs`` with n_tokens, p_<domain>, ``rate`` and ``copies``, and the domains.
+def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None,
+        keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+    """``docs`` (or its columns ``keep``) with n_tokens, p_<domain>, ``rate`` and ``copies``, and the domains.
 
     ``copies`` is the rate rounded down or up by a hash of doc_id and text, in proportion; documents with a rate of at
     least one half keep one copy at least. Texts without words have the classifier's prior and no weight. Nulls in any
@@ -152,7 +152,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     names = [c for c in docs.columns if c not in added and not c.startswith("p_")]
     scored, domains = domain_posteriors(docs.select(*names), labelled)
     key = F.xxhash64("doc_id", "text")
-    kept = stored(scored.withColumn("_key", key), "posteriors")
+    kept = stored(scored.withColumn("_key", key).select(
+        *(keep or names), "n_tokens", *[f"p_{d}" for d in domains], "_key"), "posteriors")
     fit = fit_rates(kept, domains, targets or TARGETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,6 +173,6 @@ def resample(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | N
     """The rows of ``docs``, each as often as its rate asks for."""
     names = docs.columns
     packed = docs.select("doc_id", "text", F.struct(*[docs[c] for c in names]).alias("_row"))
-    mixed, _ = mix(packed, labelled, targets)
+    mixed, _ = mix(packed, labelled, targets, keep=["_row"])
     return mixed.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_i")) \
         .select("_row.*")

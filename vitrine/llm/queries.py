@@ -50,7 +50,7 @@ def domains(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_mixing")
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    mixed, names = mixing.mix(docs, domains(spark, sf_dir))
+    mixed, names = mixing.mix(docs, domains(spark, sf_dir), keep=["doc_id"])
     return mixed.select("doc_id", "n_tokens", *[f"p_{d}" for d in names], "rate", "copies")
 
 
