@@ -198,6 +198,33 @@ def test_wrapper_inference_makes_slots_options_and_groups():
                     ["tag", "p"], ["text", "same"], ["tag", "/p"], ["opt", [["tag", "hr"]]]]
 
 
+def test_texts_of_the_template_go_without_names(spark):
+    page = ("<div class=c1><ul><li>Home</li><li>News</li>{extra}</ul></div><div class=c2><h1>Title {i}</h1>{body}"
+            "<p>Sign up for our letter.</p></div><div class=c3>" + "Buy now, this week only. " * 4 + "{i}</div>"
+            "<div class=c4>We use biscuits on every page of ours.</div>")
+    body = ["<p>First words.</p>", "<p>Second words.</p><p>More of them.</p>", "<p>Third.</p><ul><li>x1</li><li>y1</li></ul>", "<p>Fourth.</p>"]
+    rows = [(i, "http://n.org/", page.format(i=i, body=b, extra="<li>Sport</li>" * (i % 2))) for i, b in enumerate(body)]
+    rows += [(10 + i, "http://n.org/", rows[0][2]) for i in range(3)]
+    rows += [(20 + i, "http://m.org/", f"<article><p>Own text of the page {i}.</p><p>Read it in the app.</p></article>") for i in range(3)]
+    rows += [(30 + i, "http://copies.org/", f"<article><p>One long text that is the same on both pages.</p><p>{i}</p></article>") for i in range(2)]
+    rows += [(40, "http://one.org/", "<div class=c1>Alone</div><div class=menu>Home</div>")]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract_text(
+        spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+    advert = ("Buy now, this week only. " * 4)
+    assert got[0] == got[10] == got[11] == got[12] == f"Title 0 First words. {advert}0"
+    assert got[1].replace("Sport ", "") == f"Title 1 Second words. More of them. {advert}1"
+    assert got[2] == f"Title 2 Third. x1 y1 {advert}2"
+    assert [got[20 + i] for i in range(3)] == [f"Own text of the page {i}." for i in range(3)]
+    assert [got[30 + i] for i in range(2)] == [f"One long text that is the same on both pages. {i}" for i in range(2)]
+    assert got[40] == "Alone"
+
+
+def test_texts_alike_in_their_beginnings_are_told_apart():
+    page = wrappers.page_wrapper
+    one, two = (page(wrappers.Stream(f"<p>{'word ' * 20}{x}</p>")) for x in "ab")
+    assert wrappers.align(one, two)[1] == ["text", None]
+
+
 def test_token_files(spark, docs, nothing, tmp_path):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -6,12 +6,16 @@ that stands several times in a row becomes a repeated group. What results is the
 it is aligned makes the wrapper independent of how often a group repeats.
 
 Wrappers of one host are aligned like pages, so each task first folds its own pages and only one wrapper of each host and
-task travels. The wrapper tells which slots of the host are article text: those in the part of the template that holds the
-article, less the menus, headers, footers, sidebars, notices, adverts, forms and comments that its tags announce.
+task travels. A text node keeps the texts that stand there on every page so far; a slot keeps none. Each page is then
+matched against its host's wrapper: its text is what falls on slots of the part of the template that holds the article.
+Texts of the template itself (that most pages of a host repeat at the same place) go, whatever their tags are called.
+Slots that tags announce as menus, headers, footers, sidebars, notices, adverts, forms or comments go too; on a host of one
+page, which repeats nothing, these names are all there is to tell by.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as html_entities
 import json
 import re
@@ -43,6 +47,9 @@ _CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "
 _ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
                     "section table ul".split())
 LONGEST_GROUP = 24   # tokens of a group that may repeat
+SHORT = 32           # characters of a text that stands for itself in a wrapper; longer ones are hashed
+# Least share of an article's characters on slots; with less, its pages are copies of each other and repeat no template.
+ON_SLOTS_NAMED, ON_SLOTS = 0.5, 0.1   # in a named article element, on a whole page
 
 
 def tokens(page: str) -> Iterator[tuple[str, str]]:
@@ -141,7 +148,8 @@ class Stream:
         flush()
 
 
-Node = list   # ["tag", sign] | ["text", constant or None] | ["opt", nodes] | ["rep", nodes]
+# ["tag", sign] | ["text", texts on every page: None, one or a list] | ["opt", nodes, pages if not one] | ["rep", nodes]
+Node = list
 
 
 def _key(node: Node) -> str:
@@ -162,13 +170,13 @@ def fold(nodes: list[Node]) -> list[Node]:
             if times > 1 and (size > 1 or nodes[i][0] != "rep"):
                 group = nodes[i:i + size]
                 for t in range(1, times):
-                    group = align(group, nodes[i + t * size:i + (t + 1) * size])
+                    group = align(group, nodes[i + t * size:i + (t + 1) * size], within=True)
                 out.append(["rep", group])
                 i += times * size
             elif times > 1:   # neighbouring repeated groups of one kind are one
                 group = nodes[i]
                 for t in range(1, times):
-                    group = ["rep", align(group[1], nodes[i + t][1])]
+                    group = ["rep", align(group[1], nodes[i + t][1], within=True)]
                 out.append(group)
                 i += times
             else:
@@ -178,43 +186,124 @@ def fold(nodes: list[Node]) -> list[Node]:
     return nodes
 
 
-def align(left: list[Node], right: list[Node]) -> list[Node]:
-    """The smallest expression of this kind that takes what either side takes."""
-    bare_l, bare_r = ([n[1] if n[0] == "opt" else [n] for n in side] for side in (left, right))
-    flat_l = [(n, left[i][0] == "opt", i) for i, group in enumerate(bare_l) for n in group]
-    flat_r = [(n, right[i][0] == "opt", i) for i, group in enumerate(bare_r) for n in group]
-    keys_l, keys_r = [_key(n) for n, _, _ in flat_l], [_key(n) for n, _, _ in flat_r]
-    out: list[Node] = []
+Entry = tuple[Node, bool, int]   # node, is it optional, pages that have it
+
+
+def _flat(nodes: list[Node], pages: int) -> list[Entry]:
+    out = []
+    for node in nodes:
+        if node[0] == "opt":
+            out += [(n, True, node[2] if len(node) > 2 else 1) for n in node[1]]
+        else:
+            out.append((node, False, pages))
+    return out
+
+
+def _pairs(left: list[Entry], right: list[Entry]) -> Iterator[tuple[Entry | None, Entry | None]]:
+    """Entries of two sides that stand for each other, in order; None where a side has no counterpart."""
+    keys_l, keys_r = [_key(x[0]) for x in left], [_key(x[0]) for x in right]
     if keys_l == keys_r:
-        steps = [("equal", 0, len(keys_l), 0, len(keys_r))]
-    else:
-        steps = SequenceMatcher(None, keys_l, keys_r, autojunk=False).get_opcodes()
-    for step, a, b, c, d in steps:
+        yield from zip(left, right, strict=True)
+        return
+    for step, a, b, c, d in SequenceMatcher(None, keys_l, keys_r, autojunk=False).get_opcodes():
         if step == "equal":
-            for (x, opt_x, _), (y, opt_y, _) in zip(flat_l[a:b], flat_r[c:d], strict=True):
-                node = _same(x, y)
-                out.append(["opt", [node]] if opt_x or opt_y else node)
+            yield from zip(left[a:b], right[c:d], strict=True)
             continue
         # A group on one side may be the same group, repeated, on the other.
-        rest_l, rest_r = [n for n, _, _ in flat_l[a:b]], [n for n, _, _ in flat_r[c:d]]
-        if len(rest_l) == 1 and rest_l[0][0] == "rep" and [_key(n) for n in rest_l[0][1]] == [_key(n) for n in rest_r]:
-            out.append(["rep", align(rest_l[0][1], rest_r)])
-        elif len(rest_r) == 1 and rest_r[0][0] == "rep" and [_key(n) for n in rest_r[0][1]] == [_key(n) for n in rest_l]:
-            out.append(["rep", align(rest_r[0][1], rest_l)])
+        if b - a == 1 and left[a][0][0] == "rep" and [_key(n) for n in left[a][0][1]] == keys_r[c:d]:
+            yield left[a], _grouped(right[c:d])
+        elif d - c == 1 and right[c][0][0] == "rep" and [_key(n) for n in right[c][0][1]] == keys_l[a:b]:
+            yield _grouped(left[a:b]), right[c]
         else:
-            out += [["opt", [n]] for n in rest_l + rest_r]
+            yield from ((x, None) for x in left[a:b])
+            yield from ((None, y) for y in right[c:d])
+
+
+def _grouped(entries: list[Entry]) -> Entry:
+    return ["rep", [n for n, _, _ in entries]], any(opt for _, opt, _ in entries), min(n for _, _, n in entries)
+
+
+def align(left: list[Node], right: list[Node], pages: tuple[int, int] = (1, 1), within: bool = False) -> list[Node]:
+    """The smallest expression of this kind that takes what either side takes.
+
+    ``pages`` are the pages that the sides stand for; ``within`` is for two stretches of one page, whose texts add up.
+    """
+    out: list[Node] = []
+    for x, y in _pairs(_flat(left, pages[0]), _flat(right, pages[1])):
+        if x is None or y is None:
+            node, opt, n = (x or y)[0], True, (x or y)[2]
+        else:
+            node, opt, n = _same(x, y, within), x[1] or y[1], 1 if within else x[2] + y[2]
+        out.append(node if not opt else ["opt", [node]] if n == 1 else ["opt", [node], n])
     return out
 
 
-def _same(x: Node, y: Node) -> Node:
-    if x[0] == "text":
-        return ["text", x[1] if x[1] == y[1] else None]
-    return [x[0], align(x[1], y[1])] if x[0] == "rep" else x
+def _same(x: Entry, y: Entry, within: bool) -> Node:
+    (a, _, pages_a), (b, _, pages_b) = x, y
+    if a[0] == "rep":
+        return ["rep", align(a[1], b[1], (pages_a, pages_b), within)]
+    if a[0] == "tag":
+        return a
+    if within:
+        a[1].extend(b[1])
+        return a
+    return ["text", _value(constants(a) & constants(b))]
+
+
+def constants(node: Node) -> set[str]:
+    """Texts that stand at a text node on every page that has it."""
+    return set() if node[1] is None else {node[1]} if isinstance(node[1], str) else set(node[1])
+
+
+def _value(texts: set[str]) -> None | str | list[str]:
+    return None if not texts else next(iter(texts)) if len(texts) == 1 else sorted(texts)
+
+
+def short(text: str) -> str:
+    """What stands for a whole text in a wrapper."""
+    return text if len(text) <= SHORT else hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
+def page_nodes(stream: Stream) -> list[Node]:
+    """The folded page; its text nodes list the numbers of their texts."""
+    at = iter(range(len(stream.texts)))
+    return fold([["text", [next(at)]] if s == "#" else ["tag", s] for s in stream.signs])
 
 
 def page_wrapper(stream: Stream) -> list[Node]:
-    texts = iter(stream.texts)
-    return fold([["text", next(texts)[1][:64]] if s == "#" else ["tag", s] for s in stream.signs])
+    def named(nodes: list[Node]) -> list[Node]:
+        return [n if n[0] == "tag" else ["text", _value({short(stream.texts[i][1]) for i in n[1]})] if n[0] == "text"
+                else [n[0], named(n[1])] for n in nodes]
+
+    return named(page_nodes(stream))
+
+
+def of_template(node: Node, seen: int, pages: int) -> set[str]:
+    """Texts of a node that belong to the template: on every page that has the node, two at least and most of the host."""
+    return constants(node) if seen > 1 and 2 * seen > pages else set()
+
+
+def template_texts(wrapper: list[Node], pages: int, stream: Stream) -> set[int]:
+    """Numbers of the page's texts that are the template's own: those that do not fall on slots of its host's wrapper.
+
+    Where a page's own tags stand around a text, it has a place of its own in the wrapper; there a text counts as the
+    template's if the wrapper has it elsewhere in the same open elements.
+    """
+    known = {(path, text) for path, node, n, _ in text_nodes(wrapper, pages) for text in of_template(node, n, pages)}
+    found = {i for i, (path, text) in enumerate(stream.texts) if (path, short(text)) in known}
+
+    def walk(left: list[Node], right: list[Node], seen: int) -> None:
+        for x, y in _pairs(_flat(left, seen), _flat(right, 1)):
+            if x is None or y is None:
+                continue
+            if x[0][0] == "text":
+                texts = of_template(x[0], x[2], pages)
+                found.update(i for i in y[0][1] if texts and short(stream.texts[i][1]) in texts)
+            elif x[0][0] == "rep":
+                walk(x[0][1], y[0][1], x[2])
+
+    walk(wrapper, page_nodes(stream), pages)
+    return found
 
 
 def outside(path: tuple[str, ...] | list[str]) -> bool:
@@ -226,12 +315,13 @@ def outside(path: tuple[str, ...] | list[str]) -> bool:
     return False
 
 
-def regions(wrapper: list[Node]) -> dict[str, int]:
-    """Slots of a wrapper by the element that holds the article: its sign, and how many text slots it has."""
-    found: dict[str, int] = {}
+def text_nodes(wrapper: list[Node], pages: int) -> Iterator[tuple[tuple[str, ...], Node, int, bool]]:
+    """Open elements, node and pages of each text node, and whether it lies in a repeated group."""
+    path: list[str] = []
 
-    def walk(nodes: list[Node], path: list[str]) -> None:
-        for kind, value in nodes:
+    def walk(nodes: list[Node], seen: int, repeated: bool) -> Iterator[tuple[tuple[str, ...], Node, int, bool]]:
+        for node, _, n in _flat(nodes, seen):
+            kind, value = node[0], node[1]
             if kind == "tag":
                 if value.startswith("/"):
                     for i in range(len(path) - 1, -1, -1):
@@ -240,37 +330,55 @@ def regions(wrapper: list[Node]) -> dict[str, int]:
                             break
                 elif value.split(" ", 1)[0] not in _VOID:
                     path.append(value)
-            elif kind == "text":
-                if not outside(path):
-                    for element in {*path}:
-                        name, _, words = element.partition(" ")
-                        if name in _INSIDE or _INSIDE_NAMES.search(words):
-                            found[element] = found.get(element, 0) + 1
+            elif kind == "rep":
+                yield from walk(value, n, True)
             else:
-                walk(value, path)
+                yield tuple(path), node, n, repeated
 
-    walk(wrapper, [])
-    return found
+    return walk(wrapper, pages, False)
+
+
+def template(wrapper: list[Node], pages: int) -> tuple[dict[str, int], bool]:
+    """Text slots of each element that may hold the article, by its sign; and has the template texts of its own outside
+    of what its tags announce?"""
+    found: dict[str, int] = {}
+    own = False
+    for path, node, n, repeated in text_nodes(wrapper, pages):
+        if outside(path):
+            continue
+        fixed = bool(of_template(node, n, pages))
+        own = own or fixed
+        for element in {*path}:
+            name, _, words = element.partition(" ")
+            if name in _INSIDE or _INSIDE_NAMES.search(words):
+                found[element] = found.get(element, 0) + (repeated or not fixed)
+    return found, own
 
 
-def article_element(wrapper: list[Node]) -> str | None:
+def article_element(found: dict[str, int]) -> str | None:
     """The element of the template that holds the article: ``article`` before ``main`` before others; None: the page."""
     def rank(element: str) -> tuple:
         name = element.split(" ", 1)[0]
-        return (name != "article", name != "main", -found[element], element)
+        return (not found[element], name != "article", name != "main", -found[element], element)
 
-    found = regions(wrapper)
     return min(found, key=rank) if found else None
 
 
-def article_text(stream: Stream, element: str | None) -> str:
-    """Texts in the host's article element (or in an element of that kind, or on the page), less what lies outside."""
-    inside = [(path, text) for path, text in stream.texts if not outside(path)]
+def article_text(stream: Stream, element: str | None, fixed: set[int] = frozenset()) -> str:
+    """Texts in the host's article element (or in an element of that kind, or on the page), less what lies outside and less
+    the template's own texts ``fixed``."""
+    inside = [(i, path, text) for i, (path, text) in enumerate(stream.texts) if not outside(path)]
+    least = ON_SLOTS_NAMED
     for wanted in (lambda x: x == element, lambda x: x.split(" ", 1)[0] in _INSIDE):
-        chosen = [text for path, text in inside if any(wanted(x) for x in path)]
+        chosen = [(i, text) for i, path, text in inside if any(wanted(x) for x in path)]
         if chosen:
-            return " ".join(chosen)
-    return " ".join(text for _, text in inside)
+            break
+    else:
+        chosen, least = [(i, text) for i, _, text in inside], ON_SLOTS
+    slots = [text for i, text in chosen if i not in fixed]
+    if sum(map(len, slots)) < least * sum(len(text) for _, text in chosen):
+        slots = [text for _, text in chosen]
+    return " ".join(slots)
 
 
 def host_of(url: str = "url") -> Column:
@@ -279,50 +387,74 @@ def host_of(url: str = "url") -> Column:
 
 
 def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pages of a batch to one wrapper for each host."""
+    """Pages of a batch to one wrapper for each host; pages of equal texts count once."""
     for batch in batches:
         own: dict[str, list[Node]] = {}
         seen: dict[str, int] = {}
+        known: set[tuple[str, bytes]] = set()
         for host, page in zip(batch.column("_host").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            node = page_wrapper(Stream(page or ""))
+            stream = Stream(page or "")
+            texts = hashlib.blake2b(digest_size=16)
+            for part in (*stream.signs, *(text for _, text in stream.texts)):
+                texts.update(part.encode("utf-8", "replace") + b"\0")
+            if (host, texts.digest()) in known:
+                continue
+            known.add((host, texts.digest()))
+            node = page_wrapper(stream)
+            own[host] = align(own[host], node, (seen[host], 1)) if host in own else node
             seen[host] = seen.get(host, 0) + 1
-            own[host] = align(own[host], node) if host in own else node
         yield pa.RecordBatch.from_arrays([pa.array(list(own)), pa.array([json.dumps(w) for w in own.values()]),
                                           pa.array([seen[h] for h in own], pa.int64())], ["_host", "wrapper", "pages"])
 
 
 def _merge(table: pa.Table) -> pa.Table:
     wrapper: list[Node] | None = None
-    for text in sorted(table["wrapper"].to_pylist()):
+    pages = 0
+    for text, n in sorted({*zip(table["wrapper"].to_pylist(), table["pages"].to_pylist(), strict=True)}):
         other = json.loads(text)
-        wrapper = other if wrapper is None else align(wrapper, other)
-    return pa.table({"_host": table["_host"][:1], "wrapper": [json.dumps(wrapper)],
-                     "pages": [sum(table["pages"].to_pylist())], "element": pa.array([article_element(wrapper)], pa.string())})
+        wrapper = other if wrapper is None else align(wrapper, other, (pages, n))
+        pages += n
+    found, own = template(wrapper, pages)
+    return pa.table({"_host": table["_host"][:1], "wrapper": [json.dumps(wrapper)], "pages": [pages],
+                     "element": pa.array([article_element(found)], pa.string()), "own": [own]})
 
 
 def host_wrappers(pages: DataFrame) -> DataFrame:
-    """_host, wrapper (JSON), pages and element (that holds the article) of each host."""
+    """_host, wrapper (JSON), pages (of different texts), element (that holds the article) and own (has the template texts
+    of its own that no tag announces?) of each host."""
     partial = pages.select(host_of().alias("_host"), "html").mapInArrow(_fold_pages, "_host string, wrapper string, pages long")
-    return partial.groupBy("_host").applyInArrow(_merge, "_host string, wrapper string, pages long, element string")
+    return partial.groupBy("_host").applyInArrow(
+        _merge, "_host string, wrapper string, pages long, element string, own boolean")
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [article_text(Stream(page or ""), element)
-                 for page, element in zip(batch.column("html").to_pylist(), batch.column("element").to_pylist(), strict=True)]
-        kept = [n for n in batch.schema.names if n not in ("element", "html")]
+        texts, read = [], {}
+        columns = [batch.column(c).to_pylist() for c in ("html", *HOST)]
+        for page, element, wrapper, pages in zip(*columns, strict=True):
+            stream, fixed = Stream(page or ""), frozenset()
+            if wrapper is not None:   # without texts of its own, all that lies in the element falls on slots
+                if wrapper not in read:
+                    read[wrapper] = json.loads(wrapper)
+                fixed = template_texts(read[wrapper], pages, stream)
+            texts.append(article_text(stream, element, fixed))
+        kept = [n for n in batch.schema.names if n not in ("html", *HOST)]
         yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(texts, pa.string()),
                                           pa.array([len(t) for t in texts], pa.int64())], [*kept, "text", "n_chars"])
 
 
+HOST = ("_element", "_wrapper", "_pages")
+
+
 def extract_text(pages: DataFrame) -> DataFrame:
     """``pages`` (url, html, ...) with ``text`` and ``n_chars`` in place of the markup.
 
     Null and empty html give an empty text. Pages without a host form one host of their own. Repeated rows are extracted
     each. Columns of ``pages`` with the added names are replaced.
     """
-    base = pages.drop("text", "n_chars", "element", "_host")
-    elements = stored(host_wrappers(base), "wrappers").select("_host", "element")
-    joined = base.withColumn("_host", host_of()).join(elements, "_host", "left").drop("_host")
-    schema = joined.drop("html", "element").withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
+    base = pages.drop("text", "n_chars", "element", "_host", *HOST)
+    hosts = stored(host_wrappers(base).select("_host", F.col("element").alias("_element"), F.when(
+        F.col("own"), F.col("wrapper")).alias("_wrapper"), F.col("pages").alias("_pages")), "wrappers")
+    joined = base.withColumn("_host", host_of()).join(hosts, "_host", "left").drop("_host")
+    schema = joined.drop("html", *HOST).withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
     return joined.mapInArrow(_extract, schema)
