@@ -128,6 +128,12 @@ def test_mixing(spark, docs, nothing):
     assert mixing.mix(nothing, two)[0].count() == 0
 
 
+def test_mixing_learns_from_both_beginnings_of_words(spark):
+    row = mixing.with_tokens(spark.createDataFrame([("Abcdefg",)], "text string")).first()
+    assert row["_words"] == ["abcdefg", "<3>abc", "<5>abcde"] and row["n_tokens"] == 1
+    assert (mixing.FEATURES, mixing.ITERATIONS) == (1 << 17, 50)
+
+
 def test_licences(spark, nothing):
     texts = {1: "Licensed under the Apache License, Version 2.0.", 2: "gnu  GENERAL-public\nlicense v3 or later; MIT License",
              3: "permit licenses CC BYE", 4: None, 5: "", 6: "CC BY-NC-SA 4.0", 7: "é" * 10 + "mit license", 8: LONG + " mit license"}

@@ -27,9 +27,10 @@ from vitrine.llm.store import stored
 
 TARGETS = {"high": 0.9, "low": 0.1, "toxic": 0.0}
 TRAINING_ROWS = 20_000     # bound of the labelled rows that fit the classifier
-FEATURES = 1 << 15
+FEATURES = 1 << 17
 PENALTY = 1e-3
-BEGINNING = 5              # characters of a word's beginning
+ITERATIONS = 50
+BEGINNINGS = (3, 5)        # characters of a word's beginnings
 STEPS = 60                 # passes over the table at most
 TOLERANCE = 1e-4           # relative distance of domain totals from their targets
 TOKENS = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]+"
@@ -47,8 +48,12 @@ def with_tokens(docs: DataFrame) -> DataFrame:
         .withColumns({"n_tokens": F.size("_words").cast("long"), "_distinct": F.array_distinct("_words")})
     capitals = F.when(2 * F.regexp_count(text, F.lit(r"\p{Lu}")) > F.length(text), "<capitals>")
     few = F.when(F.col("n_tokens") > 4 * F.size("_distinct"), "<few distinct>")
-    begins = F.transform("_distinct", lambda w: F.concat(F.lit("<begin>"), F.left(w, F.lit(BEGINNING))))
-    return listed.withColumn("_words", F.concat("_distinct", begins, F.array_compact(F.array(capitals, few)))).drop("_distinct")
+
+    def beginnings(n: int) -> Column:   # a second parameter of the lambda would be the word's place
+        return F.transform("_distinct", lambda w: F.concat(F.lit(f"<{n}>"), F.left(w, F.lit(n))))
+
+    return listed.withColumn("_words", F.concat(
+        "_distinct", *map(beginnings, BEGINNINGS), F.array_compact(F.array(capitals, few)))).drop("_distinct")
 
 
 def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -71,7 +76,7 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame,
         return featured.withColumn(f"p_{domains[0]}", F.lit(1.0)).drop("_words"), domains
     index = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
     model = LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_p", predictionCol="_best",
-                               rawPredictionCol="_raw", family="multinomial", maxIter=30, standardization=False,
+                               rawPredictionCol="_raw", family="multinomial", maxIter=ITERATIONS, standardization=False,
                                elasticNetParam=1.0, regParam=PENALTY).fit(training.withColumn("_label", index.cast("double")))
     scored = model.transform(hashing.transform(featured)).withColumn("_p", vector_to_array("_p"))
     return scored.select(*docs.columns, "n_tokens", *[F.col("_p")[i].alias(f"p_{d}") for i, d in enumerate(domains)]), domains
