@@ -294,6 +294,27 @@ def test_forest(spark):
     assert forest.nearest(df.where("vec_id < 4"), F.col("vec_id") == 0).count() == 3
 
 
+def test_repeated_rows_crowd_out_no_neighbour(spark):
+    rng = np.random.default_rng(5)
+    plain = [(i, [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((60, 6)))]
+    near = [(i, [x + 1e-3 * j for x in plain[i][1]]) for i in range(60) for j in range(12)]
+    schema, columns = "vec_id long, embedding array<double>", ["query_id", "rank", "vec_id"]
+
+    def of(rows):
+        found = forest.nearest(spark.createDataFrame(rows, schema), F.col("vec_id") % 20 == 0).toPandas()
+        return found.sort_values(columns[:2]).reset_index(drop=True)
+
+    want, got = of(plain), of(plain * 12)
+    assert len(want) == 30 and got[columns].equals(want[columns]) and np.allclose(got["score"], want["score"], rtol=1e-12)
+    got = of(near)   # rows of one vec_id that differ a little
+    assert got.groupby("query_id")["vec_id"].nunique().tolist() == [10, 10, 10]
+    at = {i: np.array([v for j, v in near if j == i]) for i in range(60)}
+    for q in (0, 20, 40):
+        far = sorted((float(min(np.linalg.norm(at[i] - x, axis=1).min() for x in at[q])), i) for i in at if i != q)[:10]
+        own = got[got["query_id"] == q]
+        assert own["vec_id"].tolist() == [i for _, i in far] and np.allclose(own["score"], [d for d, _ in far])
+
+
 def test_digest_of_kept_words_is_that_of_the_text(docs):
     row = substrings.remove_repeats(docs).where("doc_id = 5").select(
         F.sha2(F.col("kept_text").cast("binary"), 256).alias("h")).first()

@@ -104,7 +104,13 @@ FOUND = "query_id long, vec_id long, score double, angle double"
 
 def nearest_in_block(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, mean: np.ndarray,
                      k: int) -> list[np.ndarray]:
-    """For each query its k nearest of the block, itself left out: query, vector, distance, angle seen from the mean."""
+    """For each query its k nearest of the block, itself left out: query, vector, distance, angle seen from the mean.
+
+    Rows with one vec_id are one candidate, at their smallest distance.
+    """
+    order = np.argsort(ids, kind="stable")
+    ids, data = ids[order], data[order]
+    first = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
     squares = (data ** 2).sum(axis=1)
     out: list[list[np.ndarray]] = [[], [], [], []]
     for at in range(0, len(queries), 256):
@@ -112,12 +118,15 @@ def nearest_in_block(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, q
         rough = (q ** 2).sum(axis=1)[:, None] + squares[None, :] - 2 * q @ data.T
         rough[np.isnan(rough)] = np.inf
         rough[q_ids[:, None] == ids[None, :]] = np.inf
-        limit = np.partition(rough, k - 1, axis=1)[:, k - 1] if len(ids) > k else np.full(len(q), np.inf)
+        least = rough if len(first) == len(ids) else np.minimum.reduceat(rough, first, axis=1)
+        limit = np.partition(least, k - 1, axis=1)[:, k - 1] if len(first) > k else np.full(len(q), np.inf)
         slack = 1e-9 * ((q ** 2).sum(axis=1) + squares.max())
         for i in range(len(q)):
             near = np.flatnonzero((rough[i] <= limit[i] + slack[i]) & (ids != q_ids[i]))
             distance = np.sqrt(np.cumsum((data[near] - q[i]) ** 2, axis=1)[:, -1])  # summed in order of components
-            best = np.lexsort((ids[near], distance))[:k]
+            best = np.lexsort((distance, ids[near]))
+            best = best[np.append(True, ids[near[best[1:]]] != ids[near[best[:-1]]])] if len(best) else best
+            best = best[np.lexsort((ids[near[best]], distance[best]))][:k]
             near, distance = near[best], distance[best]
             x, y = q[i] - mean, data[near] - mean
             size = np.linalg.norm(x) * np.linalg.norm(y, axis=1)
@@ -174,6 +183,8 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     dimension = common["n"]
     clean = clean.where(F.size("embedding") == dimension).select(F.col("vec_id").cast("long").alias("vec_id"), "embedding",
                                                                  is_query.alias("is_query"))
+    # Repeated rows would lie side by side in every tree and fill whole blocks.
+    clean = stored(clean.groupBy("vec_id", "embedding").agg(F.max("is_query").alias("is_query")), "vectors")
     mean = _mean(clean, dimension)
     blocks = stored(_in_trees(clean, mean, dtype)
                     .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "tree", "key", "vec_id")
