@@ -134,6 +134,14 @@ def test_mixing_learns_from_both_beginnings_of_words(spark):
     assert (mixing.FEATURES, mixing.ITERATIONS) == (1 << 17, 50)
 
 
+def test_absent_documents_use_up_no_training_rows(spark, docs, monkeypatch):
+    monkeypatch.setattr(mixing, "TRAINING_ROWS", 4)
+    labels = [(i, "low") for i in range(1000, 1200)] + [(7, "low"), (9, "low"), (3, "high"), (5, "high"), (12, "toxic"), (13, "toxic")]
+    assert mixing.domain_posteriors(docs, spark.createDataFrame(labels, "doc_id long, domain string"))[1] == ["high", "toxic"]
+    both = spark.createDataFrame([(3, "high"), (12, "toxic"), (12, "high")], "doc_id long, domain string")
+    assert mixing.domain_posteriors(docs, both)[1] == ["high", "toxic"]
+
+
 def test_licences(spark, nothing):
     texts = {1: "Licensed under the Apache License, Version 2.0.", 2: "gnu  GENERAL-public\nlicense v3 or later; MIT License",
              3: "permit licenses CC BYE", 4: None, 5: "", 6: "CC BY-NC-SA 4.0", 7: "é" * 10 + "mit license", 8: LONG + " mit license"}

@@ -60,13 +60,15 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame,
     """``docs`` with ``n_tokens`` and ``p_<domain>`` for each domain of ``labelled`` (doc_id, domain).
 
     The classifier is a multinomial logistic regression on hashed counts of ``with_tokens``. An L1 penalty leaves out the
-    many rare words. It is fitted on at most ``TRAINING_ROWS`` labelled documents, those of the smallest hashes of doc_id.
+    many rare words. It is fitted on at most ``TRAINING_ROWS`` labelled documents with words, those of the smallest hashes
+    of doc_id. Of a document's conflicting labels ``toxic`` counts, else the first in alphabetical order.
     With a single domain its probability is 1 everywhere; without any labelled document there is one domain, ``all``.
     """
     hashing = HashingTF(inputCol="_words", outputCol="_features", numFeatures=FEATURES)
     named = labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isNotNull()) \
-        .groupBy("doc_id").agg(F.min("domain").alias("domain"))
-    known = F.broadcast(named.orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS))  # bounded rows of two short columns
+        .groupBy("doc_id").agg(F.when(F.max(F.col("domain") == "toxic"), "toxic").otherwise(F.min("domain")).alias("domain"))
+    worded = docs.where(F.col("text").rlike(r"\S")).select("doc_id")   # a token is any character that is not white space
+    known = F.broadcast(named.join(worded, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS))  # bounded rows of two short columns
     training = with_tokens(docs.select("doc_id", "text").join(known, "doc_id")).where("n_tokens > 0")
     training = stored(hashing.transform(training).select("_features", "domain"), "training")
     domains = [r["domain"] for r in training.select("domain").distinct().orderBy("domain").collect()]
