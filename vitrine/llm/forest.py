@@ -2,9 +2,9 @@
 
 Each tree gives every vector a long hash string: its sides of 32 random hyperplanes through the mean. A tree is the
 table of vectors sorted by hash string, cut into packed blocks of consecutive entries; rows that share a prefix of any
-length are neighbours in it. A query descends every tree to its longest matching prefix and compares with the blocks
-it meets there. The distance found so far tells how probable it is that a true neighbour shares a prefix of ``x`` bits
-with it in no tree; the query then ascends, in all trees at once, to the longest prefix length at which that is less
+length are neighbours in it. Every query starts at one depth in all trees, at which a range is a block or two of evenly
+spread vectors, and compares with the blocks it meets there; bits behind that depth only sort. The distance found so far tells how probable it is that a true neighbour shares a prefix of ``x`` bits
+with it in no tree; the query then jumps, in all trees at once, to the longest prefix length at which that is less
 than ``MISS``, and compares with every block of those ranges. Ranges are met by an equality join on (tree, length,
 prefix), so no row is paired with rows outside them.
 """
