@@ -1,9 +1,9 @@
 """Benchmark decontamination with suffix arrays over shards of the training text.
 
 Each shard (a few MB of documents) is cut into words and gets a suffix array: its suffixes in lexicographic
-order of their word codes, cut at the window's length. Every suffix of every test item is binary-searched in
-every shard, which gives its longest verbatim match and, where the match fills a window, the places of it.
-Matches of neighbouring suffixes join to longer spans. The array holds the suffixes that begin with a gram of
+order of their word codes, cut at the window's length. Every suffix of a test item that fills a window is
+binary-searched in every shard, which gives the places of the window; shorter matches are not reported.
+Matches of neighbouring suffixes, and of adjoining passages of any items, join to longer spans. The array holds the suffixes that begin with a gram of
 the test set: no other suffix can hold a window.
 
 Test items travel to the tasks in blocks of bounded size; each block adds to what the blocks before it found.
@@ -157,7 +157,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     """``docs`` with what of each text stands in ``benchmark`` (item_id, text).
 
     Adds ``n_words``, ``spans`` (merged word ranges covered by windows), ``items`` (sorted item ids with a
-    window in the text) and ``longest`` (words of the longest span). Words are ASCII-lower-cased runs of letters,
+    window in the text) and ``longest`` (words of the longest span, which may join several items). Words are ASCII-lower-cased runs of letters,
     digits and non-ASCII bytes. Null and empty texts have no words; without items nothing is found; an item without
     words has no window; a null item id is searched but not named; columns of ``docs`` with these names are replaced.
     """
