@@ -62,3 +62,18 @@ near AS (SELECT q.vec_id AS query_id, c.vec_id,
          FROM ok q JOIN ok c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM near) WHERE rank <= 10"""
+
+OP13 = """
+WITH ok AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                CAST(list_sum(list_transform(list_zip(a.e, b.e), lambda z: z[1] * z[2])) AS BIGINT) AS s
+         FROM ok a JOIN ok b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT * FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, id) <= 5),
+neg AS (SELECT p.anchor_id, p.id AS positive_id, n.id AS negative_id, p.s AS positive_score, n.s AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.s DESC, n.id) AS rank
+        FROM pos p JOIN pair n ON p.anchor_id = n.anchor_id AND NOT n.same AND 80 * p.s <= 100 * n.s AND n.s <= p.s)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= 5"""

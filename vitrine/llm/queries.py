@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm import (
     decontaminate,
+    fingerprints,
     forest,
+    hard_negatives,
     language,
     licences,
     minhash,
     mixing,
     oracles,
+    periodic,
     sharding,
     substrings,
     token_files,
@@ -113,3 +116,29 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic.with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(docs.select("doc_id", F.col("repeated").alias("text")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = found.withColumn("longest", periodic.longest_run()).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"), "longest.length",
+        (-F.col("longest.period")).alias("period"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return longest.withColumn("exponent_milli", F.expr("1000 * length div period"))
+
+
+@query("op12_fingerprints")
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compared = fingerprints.compare_with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return compared.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+@query("op13_hard_negatives", oracles.OP13)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
