@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from vitrine.functions.numeric import half_even
-from vitrine.operators import cluster_metrics, clustering, components, dbscan, features
+from vitrine.operators import cluster_metrics, clustering, components, dbscan, features, ward
 from vitrine.operators.scaling import zscore_columns
 
 from .fixtures import products, table
@@ -147,6 +147,11 @@ def hierarchical_segments(spark, sf):
     return clustering.hierarchical_segments(matrix(spark, sf)[0], 3).select("product_id", "cluster_hierarch")
 
 
+@query("ward_linkage")
+def ward_linkage(spark, sf):
+    return ward.Ward(matrix(spark, sf)[0]).linkage()
+
+
 @query("pca_2d")
 def pca_2d(spark, sf):
     frame, scaled = matrix(spark, sf)

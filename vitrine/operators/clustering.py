@@ -1,8 +1,8 @@
-"""Segmentation: k-means, bisecting k-means, naming, profiles, PCA, elbow."""
+"""Segmentation: k-means, Ward hierarchy, naming, profiles, PCA, elbow."""
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -11,6 +11,7 @@ from ..functions.numeric import half_even, steady_mean
 from .cluster_metrics import davies_bouldin, silhouette, silhouette_squared
 from .features import assemble
 from .scaling import zscore_columns
+from .ward import LEAVES, Ward
 
 # Clustering features, and the names of three segments by price.
 CLUSTER_FEATURES = ["prix", "rating", "nb_reviews", "quantite_stock", "delai_livraison_j", "remise_pct"]
@@ -84,10 +85,9 @@ def elbow(matrix: DataFrame, scaled: list[str], k_max: int = 10, restarts: int =
     return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def hierarchical_segments(matrix: DataFrame, k: int = 3, seed: int = 42) -> DataFrame:
-    """Top-down hierarchy (bisecting k-means) over all rows: ``cluster_hierarch``."""
-    model = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster_hierarch").fit(matrix.cache())
-    return model.transform(matrix)
+def hierarchical_segments(matrix: DataFrame, k: int = 3, leaves: int = LEAVES) -> DataFrame:
+    """Bottom-up hierarchy (Ward) over all rows, cut into ``k`` clusters: ``cluster_hierarch``."""
+    return Ward(matrix, leaves).label(matrix, k)
 
 
 def pca_2d(matrix: DataFrame, scaled: list[str]) -> tuple[DataFrame, DataFrame]:
