@@ -48,7 +48,7 @@ def analysis_association(spark, sf):
 @query("staged_flow")
 def staged_flow(spark, sf):
     """Staged flow with the model saved to the shared folder; its metric row."""
-    result = flows.staged(labelled_dirty(spark, sf), ["ingest_seq"], rounds=5,
+    result = flows.staged(labelled_dirty(spark, sf), ["ingest_seq"],
                           model_path=scratch_path(spark, "staged"))
     left = result["topk_metrics"].select("top_k", "avg_topk_score", "avg_rating_topk", "nb_products_analyzed")
     metrics = result["model_metrics"]

@@ -50,9 +50,11 @@ def frame(spark, x, y, weights):
     return spark.createDataFrame(rows, "k long, a double, b double, c double, label double, weights array<double>").repartition(4)
 
 
-def test_rounds_equal_a_plain_version_for_every_model_in_lockstep(spark, monkeypatch):
+@pytest.mark.parametrize("small", [0, boosting.SMALL_BYTES])
+def test_rounds_equal_a_plain_version_for_every_model_in_lockstep(spark, monkeypatch, small):
     monkeypatch.setattr(boosting, "BLOCK_ROWS", 64)
     monkeypatch.setattr(boosting, "CUT_EVERY", 2)
+    monkeypatch.setattr(boosting, "SMALL_BYTES", small)
     x, y = data()
     fold = np.arange(len(y)) % 3
     weights = np.stack([np.ones(len(y)), *[(fold != f) * np.where(y == 1, 2.5, 1.0) for f in range(2)]], axis=1)
@@ -73,11 +75,12 @@ def test_rounds_equal_a_plain_version_for_every_model_in_lockstep(spark, monkeyp
 def test_result_does_not_depend_on_blocks(spark, monkeypatch):
     x, y = data(500, 3)
     seen = []
-    for rows in (37, 8192):
+    for rows, small in ((37, 0), (8192, 0), (37, 1 << 20), (8192, 1 << 20)):
         monkeypatch.setattr(boosting, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(boosting, "SMALL_BYTES", small)
         forest = boosting.fit_lockstep(frame(spark, x, y, np.ones((500, 1))), ["a", "b", "c"], settings=boosting.Settings(rounds=4))[0]
         seen.append(forest.to_json())
-    assert seen[0] == seen[1]
+    assert all(one == seen[0] for one in seen)
 
 
 def test_cuts_keep_all_few_values_and_quantiles_of_many(spark):

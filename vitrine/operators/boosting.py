@@ -9,19 +9,20 @@ Several models over the same rows grow in lockstep: a row has one training weigh
 out), and a pass over the blocks serves all models. So cross-validation costs passes of one model, not of one each.
 
 Gradients are rounded to multiples of 2^-20 before they are summed; such sums are exact, so results depend neither on
-the order of tasks nor on the number of blocks. Margins of rows live in the blocks, in executor storage, and are written
-to the checkpoint folder every ``CUT_EVERY`` rounds, so a lost executor repeats a few rounds for its blocks.
+the order of tasks nor on the number of blocks. Blocks of at most ``SMALL_BYTES`` in all go to one task for each model,
+which does all rounds there and finds the same trees, as a job for each level would take longer than its work. Above,
+margins of rows live in the blocks, in executor storage, and are written to the checkpoint folder every ``CUT_EVERY``
+rounds, so a lost executor repeats a few rounds for its blocks.
 """
 
 from __future__ import annotations
 
+import json
 import sys
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark import StorageLevel, cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -31,52 +32,16 @@ from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import shared_dir, store_table
+from . import boosting_tasks as tasks
+from .boosting_tasks import Settings, Tree
 from .ordering import value_ranks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no installed copy
 
 BINS = 256
 BLOCK_ROWS = 8192
+SMALL_BYTES = 64 << 20   # blocks that one task can hold; then each model is one task
 CUT_EVERY = 20
-_UNIT = float(1 << 20)
-
-
-@dataclass
-class Settings:
-    """200 rounds of depth 5 with step 0.05; the rest are the learner's usual defaults."""
-
-    rounds: int = 200
-    depth: int = 5
-    step: float = 0.05
-    l2: float = 1.0
-    min_child_weight: float = 1.0
-    min_gain: float = 0.0
-
-
-@dataclass
-class Tree:
-    """Nodes in heap order; feature -1 ends a path. A row goes left where its value is at most the threshold."""
-
-    feature: np.ndarray
-    cut: np.ndarray          # bin
-    threshold: np.ndarray    # value
-    leaf: np.ndarray
-    gain: np.ndarray
-
-    @classmethod
-    def empty(cls, depth: int) -> Tree:
-        size = (1 << (depth + 1)) - 1
-        return cls(np.full(size, -1, np.int16), np.zeros(size, np.int16), np.zeros(size), np.zeros(size), np.zeros(size))
-
-    def nodes(self, columns: np.ndarray, cuts: np.ndarray, levels: int) -> np.ndarray:
-        """Node that each row (a column of ``columns``) has reached after ``levels`` splits at most."""
-        at, every = np.zeros(columns.shape[1], np.int64), np.arange(columns.shape[1])
-        for _ in range(levels):
-            feature = self.feature[at]
-            inner = feature >= 0
-            right = columns[np.maximum(feature, 0), every] > cuts[at]
-            at = np.where(inner, 2 * at + 1 + right, at)
-        return at
 
 
 @dataclass
@@ -126,116 +91,12 @@ def bin_cuts(df: DataFrame, names: list[str], bins: int = BINS) -> list[np.ndarr
     return [np.array(sorted(r["value"] for r in kept if r["column"] == name)) for name in names]
 
 
-def _pack(cuts: list[np.ndarray], models: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, len(batch), BLOCK_ROWS):
-                part = batch.slice(a, BLOCK_ROWS)
-                columns = [np.searchsorted(c, part.column(f"f{i}").to_numpy(zero_copy_only=False)) for i, c in enumerate(cuts)]
-                bins = np.stack([np.minimum(x, max(len(c) - 1, 0)) for x, c in zip(columns, cuts, strict=True)])
-                weights = part.column("weights").flatten().to_numpy(zero_copy_only=False).reshape(len(part), models).T
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([bins.astype(np.uint8).tobytes()], pa.binary()), pa.array([weights.astype(float).tobytes()], pa.binary()),
-                     pa.array([part.column("label").to_numpy(zero_copy_only=False).astype(float).tobytes()], pa.binary())],
-                    ["bins", "weights", "labels"])
-
-    return run
-
-
-@dataclass
-class Block:
-    bins: np.ndarray       # features x rows
-    weights: np.ndarray    # models x rows
-    labels: np.ndarray
-    margins: np.ndarray    # models x rows
-
-    def gradients(self, model: int) -> tuple[np.ndarray, np.ndarray]:
-        share = 1 / (1 + np.exp(-self.margins[model]))
-        g = self.weights[model] * (share - self.labels)
-        h = self.weights[model] * np.maximum(share * (1 - share), 1e-16)
-        return np.rint(g * _UNIT) / _UNIT, np.rint(h * _UNIT) / _UNIT
-
-
-def _opened(features: int, models: int):
-    def make(row) -> Block:
-        bins = np.frombuffer(row[0], np.uint8).reshape(features, -1)
-        weights = np.frombuffer(row[1]).reshape(models, -1)
-        return Block(bins, weights, np.frombuffer(row[2]), np.zeros(weights.shape))
-
-    return make
-
-
-def _histograms(trees: list[Tree], level: int, offsets: np.ndarray, total: int):
-    """Sum of gradients and hessians in each bin of each open node of each model."""
-    def run(blocks: Iterator[Block]) -> Iterator[np.ndarray]:
-        first, nodes = (1 << level) - 1, 1 << level
-        out = np.zeros((len(trees), 2, nodes * total))
-        for block in blocks:
-            for m, tree in enumerate(trees):
-                at = tree.nodes(block.bins, tree.cut, level) - first
-                used = np.flatnonzero((at >= 0) & (block.weights[m] > 0))
-                place = (block.bins[:, used] + offsets[:, None] + at[used] * total).ravel()
-                for i, sums in enumerate(block.gradients(m)):
-                    out[m, i] += np.bincount(place, np.tile(sums[used], len(offsets)), minlength=nodes * total)
-        yield out.reshape(len(trees), 2, nodes, total)
-
-    return run
-
-
-def best_split(g: np.ndarray, h: np.ndarray, sizes: list[int], s: Settings) -> tuple[float, int, int]:
-    """(gain, feature, bin) of a node's best split from its histograms; the first of equal ones."""
-    best, at = (0.0, -1, 0), 0
-    for feature, size in enumerate(sizes):
-        own_g, own_h = g[at:at + size], h[at:at + size]
-        at += size
-        left_g, left_h = np.cumsum(own_g)[:-1], np.cumsum(own_h)[:-1]
-        right_g, right_h = own_g.sum() - left_g, own_h.sum() - left_h
-        allowed = (left_h >= s.min_child_weight) & (right_h >= s.min_child_weight)
-        if not allowed.any():
-            continue
-        gain = left_g ** 2 / (left_h + s.l2) + right_g ** 2 / (right_h + s.l2) - own_g.sum() ** 2 / (own_h.sum() + s.l2)
-        gain = np.where(allowed, gain / 2, -np.inf)
-        cut = int(np.argmax(gain))
-        if gain[cut] > max(best[0], s.min_gain):
-            best = (float(gain[cut]), feature, cut)
-    return best
-
-
-def _grow(tree: Tree, level: int, hist: np.ndarray, cuts: list[np.ndarray], s: Settings) -> None:
-    """Split the nodes of a level, and give every new end of a path its weight."""
-    sizes = [max(len(c), 1) for c in cuts]
-    first = (1 << level) - 1
-    for i in range(1 << level):
-        node = first + i
-        if level and tree.feature[(node - 1) // 2] < 0:
-            continue
-        g, h = hist[0, i], hist[1, i]
-        whole_g, whole_h = g[:sizes[0]].sum(), h[:sizes[0]].sum()
-        tree.leaf[node] = -s.step * whole_g / (whole_h + s.l2)
-        gain, feature, cut = best_split(g, h, sizes, s)
-        if feature < 0:
-            continue
-        at = sum(sizes[:feature])
-        tree.feature[node], tree.cut[node], tree.threshold[node], tree.gain[node] = feature, cut, cuts[feature][cut], gain
-        left_g, left_h = g[at:at + cut + 1].sum(), h[at:at + cut + 1].sum()
-        tree.leaf[2 * node + 1] = -s.step * left_g / (left_h + s.l2)
-        tree.leaf[2 * node + 2] = -s.step * (whole_g - left_g) / (whole_h - left_h + s.l2)
-
-
-def _advanced(trees: list[Tree], depth: int):
-    def run(block: Block) -> Block:
-        grown = np.stack([t.leaf[t.nodes(block.bins, t.cut, depth)] for t in trees])
-        return Block(block.bins, block.weights, block.labels, block.margins + grown)
-
-    return run
-
-
 def fit_lockstep(df: DataFrame, names: list[str], weights: str = "weights", label: str = "label", models: int = 1,
                  settings: Settings | None = None, bins: int = BINS) -> list[Forest]:
     """One model for each entry of the array column ``weights``, trained on the rows where that entry is above 0.
 
     ``names`` are numeric columns without nulls, ``label`` is 0 or 1. Cuts come from all rows that any model trains on.
-    A model without rows has trees of weight 0.
+    A model without rows has trees of weight 0. Without any row there are no trees.
     """
     s, spark = settings or Settings(), df.sparkSession
     used = df.where(F.exists(weights, lambda w: w > 0))
@@ -245,24 +106,30 @@ def fit_lockstep(df: DataFrame, names: list[str], weights: str = "weights", labe
     sizes = np.array([max(len(c), 1) for c in cuts])
     offsets, total = np.cumsum(sizes) - sizes, int(sizes.sum())
     parts = max(1, -(-rows.count() // BLOCK_ROWS))
-    packed = store_table(rows.repartition(parts).mapInArrow(_pack(cuts, models), "bins binary, weights binary, labels binary"), "blocks")
+    packed = store_table(rows.repartition(parts).mapInArrow(tasks.pack(cuts, models, BLOCK_ROWS), "bins binary, weights binary, labels binary"), "blocks")
+    sized = packed.agg(F.sum(F.octet_length("bins") + F.octet_length("weights") + F.octet_length("labels"))).first()[0] or 0
+    if sized <= SMALL_BYTES:
+        each = packed.withColumn("model", F.explode(F.sequence(F.lit(0), F.lit(models - 1))))
+        found = each.groupBy("model").applyInArrow(tasks.train_here(s, cuts, models), "model int, trees string").collect()
+        return [Forest.from_json({"names": names, "settings": vars(s), "trees": json.loads(r["trees"])})
+                for r in sorted(found, key=lambda r: r["model"])] or [Forest(names, s) for _ in range(models)]
     shared_dir(spark)  # checkpoints of margins go there
-    blocks = packed.rdd.map(_opened(len(names), models)).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = packed.rdd.map(tasks.opened(len(names), models)).persist(StorageLevel.MEMORY_AND_DISK)
     out = [Forest(names, s) for _ in range(models)]
     before = None
     for done in range(1, s.rounds + 1):
         trees = [Tree.empty(s.depth) for _ in range(models)]
         for level in range(s.depth):
-            sums = blocks.mapPartitions(_histograms(trees, level, offsets, total)).treeReduce(np.add)
-            for tree, hist in zip(trees, sums, strict=True):
-                _grow(tree, level, hist, cuts, s)
+            task = tasks.histograms(*tasks.parts(trees, "feature", "cut"), level, offsets, total)
+            tasks.next_level(trees, level, blocks.mapPartitions(task).treeReduce(np.add), cuts, s)
             if before is not None:
                 before.unpersist()
                 before = None
         for forest, tree in zip(out, trees, strict=True):
             forest.trees.append(tree)
         if done < s.rounds:
-            before, blocks = blocks, blocks.map(_advanced(trees, s.depth)).persist(StorageLevel.MEMORY_AND_DISK)
+            grown = tasks.advanced(*tasks.parts(trees, "feature", "cut", "leaf"), s.depth)
+            before, blocks = blocks, blocks.map(grown).persist(StorageLevel.MEMORY_AND_DISK)
             if done % CUT_EVERY == 0:
                 blocks.checkpoint()
     blocks.unpersist()

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import half_even
-from . import metrics, splits
+from ..session import store_table
+from . import boosting, metrics, splits
+from .boosting import BoostedTrees
 from .features import assemble, model_frame
 
 
@@ -28,9 +32,8 @@ def random_forest(trees: int = 200, depth: int = 30, seed: int = 42) -> RandomFo
                                   weightCol="weight", labelCol="label", featuresCol="features")
 
 
-def boosted_trees(rounds: int = 200, depth: int = 5, step: float = 0.05, seed: int = 42) -> GBTClassifier:
-    return GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed,
-                         weightCol="weight", labelCol="label", featuresCol="features")
+def boosted_trees(rounds: int = 200, depth: int = 5, step: float = 0.05) -> BoostedTrees:
+    return BoostedTrees(rounds=rounds, depth=depth, step=step, weightCol="weight")
 
 
 def _frame(df: DataFrame, preset: str, key: str) -> tuple[DataFrame, list[str]]:
@@ -54,8 +57,7 @@ def evaluate(predictions: DataFrame) -> DataFrame:
 def _train(df: DataFrame, estimator: Estimator, weigh, preset: str, key: str,
            test_size: float) -> tuple[Trained, DataFrame, list[str]]:
     frame, names = _frame(df, preset, key)
-    # Tree training reads the frame once per level: keep it in executor storage.
-    split = splits.stratified_split(frame, "label", key, test_size).persist()
+    split = store_table(splits.stratified_split(frame, "label", key, test_size), "split")
     train = weigh(split.where("is_test = 0"), "label")
     test = split.where("is_test = 1").select(key, "label", "features")
     model = PipelineModel([estimator.fit(train)])
@@ -79,19 +81,47 @@ def train_boosted_trees(df: DataFrame, test_size: float = 0.2, rounds: int = 200
     return _train(df, boosted_trees(rounds, depth), weigh, preset, key, test_size)
 
 
+def _folded(df: DataFrame, preset: str, key: str, folds: int) -> tuple[DataFrame, list[str]]:
+    frame, names = model_frame(df, preset, key)
+    return store_table(splits.stratified_folds(frame, "label", key, folds), "folds"), names
+
+
+def _mean_f1(held: list[DataFrame]) -> DataFrame:
+    """Mean and population deviation of the class-1 F1 of the folds' scored rows."""
+    rows = None
+    for part in held:
+        row = metrics.binary_metrics(part).select("f1")
+        rows = row if rows is None else rows.unionByName(row)
+    return rows.agg(half_even(F.avg("f1"), 4).alias("cv_f1_mean"), half_even(F.stddev_pop("f1"), 4).alias("cv_f1_std"))
+
+
 def cross_validated_f1(df: DataFrame, estimator: Estimator, folds: int = 5, balanced: bool = True,
-                       preset: str = "classification", key: str = "product_id") -> DataFrame:
-    """Mean and population deviation of the class-1 F1 over stratified folds."""
-    frame, _ = _frame(df, preset, key)
-    folded = splits.stratified_folds(frame, "label", key, folds).persist()
+                       preset: str = "classification", key: str = "product_id", parallelism: int = 5) -> DataFrame:
+    """Mean and population deviation of the class-1 F1 over stratified folds.
+
+    Every fold trains on one shared stored frame. Boosted trees of all folds grow in lockstep, a pass for all of them
+    (positives weigh neg / pos); other estimators train ``parallelism`` folds at a time.
+    """
+    folded, names = _folded(df, preset, key, folds)
+    if isinstance(estimator, BoostedTrees):
+        weight = splits.with_positive_weight(folded, "label")
+        apart = F.array(*[F.when(F.col("fold") == fold, 0.0).otherwise(F.col("weight")) for fold in range(folds)])
+        forests = boosting.fit_lockstep(weight.withColumn("weights", apart), names, models=folds, settings=estimator.settings())
+        scored = store_table(boosting.held_out_scores(folded, forests, "fold", names)
+                             .select("fold", F.col("label").cast("int").alias("y"), "pred"), "held")
+        return _mean_f1([scored.where(F.col("fold") == fold) for fold in range(folds)])
+    ready = assemble(folded, names).select(key, "label", "fold", "features")
     weigh = splits.with_balanced_weight if balanced else splits.with_positive_weight
-    held = None
-    for fold in range(folds):
-        model = estimator.fit(weigh(folded.where(F.col("fold") != fold), "label"))
-        part = metrics.binary_metrics(score(model, folded.where(F.col("fold") == fold)))
-        part = part.withColumn("fold", F.lit(fold))
-        held = part if held is None else held.unionByName(part)
-    return held.agg(half_even(F.avg("f1"), 4).alias("cv_f1_mean"), half_even(F.stddev_pop("f1"), 4).alias("cv_f1_std"))
+
+    def train(fold: int) -> DataFrame:
+        model = estimator.copy().fit(weigh(ready.where(F.col("fold") != fold), "label"))
+        return store_table(score(model, ready.where(F.col("fold") == fold)).select("y", "pred"), "held")
+
+    pool = ThreadPool(min(parallelism, folds))
+    try:
+        return _mean_f1(pool.map(inheritable_thread_target(train), range(folds)))
+    finally:
+        pool.terminate()
 
 
 def feature_importance(spark: SparkSession, trained: Trained, names: list[str]) -> DataFrame:
