@@ -134,6 +134,63 @@ def test_mixing_learns_from_both_beginnings_of_words(spark):
     assert (mixing.FEATURES, mixing.ITERATIONS) == (1 << 17, 50)
 
 
+def test_posteriors_are_a_plain_softmax(spark):
+    rng = np.random.default_rng(2)
+    texts = [" ".join(rng.choice(["good", "fine", "calm", "bad", "vile", "dull"], 30, p=p))
+             for p in ([.4, .3, .3, 0, 0, 0], [0, 0, 0, .4, .3, .3]) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labelled = spark.createDataFrame([(i, "high" if i < 40 else "low") for i in range(80) if i % 2], "doc_id long, domain string")
+    scored, domains = mixing.domain_posteriors(docs.withColumn("p_other", F.lit(7)), labelled)
+    rows = scored.orderBy("doc_id").collect()
+    assert domains == ["high", "low"] and rows[0]["p_other"] == 7 and rows[0]["n_tokens"] == 30
+    assert all(abs(r["p_high"] + r["p_low"] - 1) < 1e-12 and (r["p_high"] > 0.5) == (r["doc_id"] < 40) for r in rows)
+    found = mixing.Features(np.array([0, 0, 1]), np.array([5, 9, 5]), np.array([2, 1]))
+    p = mixing.posteriors(found, 3, np.array([5, 9]), np.array([[1.0, 0.0], [0.0, 2.0]]), np.array([0.5, 0.0]))
+    z = np.array([[1.5, 2.0], [1.5, 0.0], [0.5, 0.0]])
+    assert np.allclose(p, np.exp(z) / np.exp(z).sum(axis=1, keepdims=True))
+
+
+def test_whole_from_keeps_what_rounding_leaves_out(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " * 20) for i in range(200)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(0, "high")], "doc_id long, domain string")
+    import pytest as _pytest
+    with _pytest.MonkeyPatch.context() as patch:
+        patch.setattr(mixing, "fit_rates", lambda *a: mixing.Fit(0.6, np.ones(1), []))
+        plain = [r["copies"] for r in mixing.mix(docs, labelled)[0].collect()]
+        lifted = [r["copies"] for r in mixing.mix(docs, labelled, whole_from=0.5)[0].collect()]
+    assert 0.45 < np.mean(plain) < 0.75 and set(lifted) == {1}
+
+
+def test_hashed_features_are_those_of_the_definition(spark, sf):
+    """Texts share a bucket as often as they share a listed feature, and in no other way (up to rare collisions)."""
+    from collections import Counter
+
+    import pyarrow as pa
+    texts = [r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(60).collect()]
+    texts += [None, "", " \n", "ÉTÉ Straße, d'accord... ÀÉ 12a!?", "A B C", "x x x x x x x", "MIXED Case word", LONG[:3000], "\u00a0a\u00a0b", "!!!"]
+    listed = [r for r in mixing.with_tokens(spark.createDataFrame([(t,) for t in texts], "text string")).collect()]
+    found = mixing.hashed_features(pa.array(texts, pa.string()))
+    assert found.n_tokens.tolist() == [r["n_tokens"] for r in listed]
+    bucket_of, clashes = {}, 0
+    for i, r in enumerate(listed):
+        want, got = Counter(r["_words"]), found.bucket[found.row == i]
+        assert len(got) == sum(want.values())
+        if len(want) == 1 == len(set(got.tolist())):
+            bucket_of[next(iter(want))] = int(got[0])
+    names = sorted({w for r in listed for w in r["_words"]})
+    alone = mixing.hashed_features(pa.array([w for w in names if not w.startswith("<")], pa.string()))
+    words = [w for w in names if not w.startswith("<")]
+    for i, word in enumerate(words):
+        own = alone.bucket[alone.row == i].tolist()
+        bucket_of |= {word: own[0], f"<3>{word[:3]}": own[1], f"<5>{word[:5]}": own[2]}
+    for i, r in enumerate(listed):
+        want = Counter(bucket_of[w] for w in r["_words"] if w in bucket_of)
+        got = Counter(found.bucket[found.row == i].tolist())
+        clashes += sum((want - got).values())
+        assert sum((got - want).values()) <= sum(w not in bucket_of for w in r["_words"])
+    assert clashes == 0
+
+
 def test_absent_documents_use_up_no_training_rows(spark, docs, monkeypatch):
     monkeypatch.setattr(mixing, "TRAINING_ROWS", 4)
     labels = [(i, "low") for i in range(1000, 1200)] + [(7, "low"), (9, "low"), (3, "high"), (5, "high"), (12, "toxic"), (13, "toxic")]

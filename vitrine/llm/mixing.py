@@ -13,16 +13,20 @@ descend: a document of a small domain moves as fast as one of a large domain.
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from vitrine.llm import words as W
+from vitrine.llm.arrow import add_columns
 from vitrine.llm.store import stored
 
 TARGETS = {"high": 0.9, "low": 0.1, "toxic": 0.0}
@@ -42,7 +46,10 @@ def domain_of_labels() -> Column:
 
 
 def with_tokens(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``_words``: distinct tokens of the whole text, their beginnings, and marks."""
+    """``docs`` with ``n_tokens`` and ``_words``: distinct tokens of the whole text, their beginnings, and marks.
+
+    This is the definition of the classifier's features; ``hashed_features`` finds their hash buckets in Arrow batches.
+    """
     text = F.coalesce("text", F.lit(""))
     listed = docs.withColumn("_words", F.regexp_extract_all(F.lower(text), F.lit(TOKENS), F.lit(0))) \
         .withColumns({"n_tokens": F.size("_words").cast("long"), "_distinct": F.array_distinct("_words")})
@@ -56,6 +63,125 @@ def with_tokens(docs: DataFrame) -> DataFrame:
         "_distinct", *map(beginnings, BEGINNINGS), F.array_compact(F.array(capitals, few)))).drop("_distinct")
 
 
+@dataclass
+class Features:
+    """Features of some texts: ``row`` and ``bucket`` of each, once for every occurrence that counts; tokens of the texts."""
+
+    row: np.ndarray
+    bucket: np.ndarray
+    n_tokens: np.ndarray
+
+
+def _kinds() -> np.ndarray:
+    """Kind of each code point: 0 ASCII white space, 1 letter or number, 2 capital letter, 3 other."""
+    def kind(c: str) -> int:
+        if c in " \t\n\x0b\f\r":
+            return 0
+        category = unicodedata.category(c)
+        return 2 if category == "Lu" else 1 if category[0] in "LN" else 3
+
+    return np.fromiter((kind(chr(i)) for i in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
+
+
+def hashed_features(column: pa.Array) -> Features:
+    """What ``with_tokens`` lists, as hash buckets, for a chunk of texts."""
+    kinds, rows = W.worker_cache("kinds", _kinds), len(column)
+    given = pc.fill_null(column, "").cast(pa.large_string())
+    capital = kinds[_code_points(given)] == 2
+    sizes = pc.utf8_length(given).to_numpy(zero_copy_only=False).astype(np.int64)
+    owner = np.repeat(np.arange(rows), sizes)
+    shouting = 2 * np.bincount(owner[capital], minlength=rows) > sizes
+
+    lower = pc.utf8_lower(given)
+    code = _code_points(lower)
+    ends = np.cumsum(pc.utf8_length(lower).to_numpy(zero_copy_only=False).astype(np.int64))
+    kind = np.minimum(kinds[code], 3)
+    kind[kind == 2] = 1
+    change = np.ones(len(code), bool)
+    change[1:] = kind[1:] != kind[:-1]
+    change[ends[:-1][ends[:-1] < len(code)]] = True
+    start = np.flatnonzero(change)
+    size = np.diff(np.append(start, len(code)))
+    token = kind[start] > 0 if len(start) else np.zeros(0, bool)
+    start, size = start[token], size[token]
+    row = np.searchsorted(ends, start, side="right")
+    n_tokens = np.bincount(row, minlength=rows)
+
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    value = (code[np.repeat(start, size) + place].astype(np.uint64) + np.uint64(1)) * W.constants(int(size.max()) if len(size) else 0, 83)[place]
+    cut = np.cumsum(size) - size
+    whole = np.add.reduceat(value, cut) if len(cut) else np.zeros(0, np.uint64)
+    order = np.argsort(W.mix(whole + row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable")
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (whole[order[1:]] != whole[order[:-1]]) | (row[order[1:]] != row[order[:-1]])
+    first = np.sort(order[fresh])
+    found = [(row[first], W.mix(whole[first]))]
+    for n in BEGINNINGS:
+        sums = np.add.reduceat(np.where(place < n, value, np.uint64(0)), cut) if len(cut) else whole
+        found.append((row[first], W.mix(sums[first] ^ W.constants(1, n)[0])))
+    few = np.flatnonzero(n_tokens > 4 * np.bincount(row[first], minlength=rows))
+    for mark, where in ((1, np.flatnonzero(shouting)), (2, few)):
+        found.append((where, np.full(len(where), W.mix(np.array([mark << 40], np.uint64))[0])))
+    bucket = np.concatenate([h for _, h in found]) % np.uint64(FEATURES)
+    return Features(np.concatenate([r for r, _ in found]), bucket.astype(np.int64), n_tokens)
+
+
+def _code_points(texts: pa.Array) -> np.ndarray:
+    data, _ = W.text_bytes(texts)
+    return np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+
+
+def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted buckets and their counts of each text with tokens."""
+    for batch in batches:
+        for a, b in W.chunks(batch.column("text")):
+            part = batch.slice(a, b - a)
+            found = hashed_features(part.column("text"))
+            pair, count = np.unique(found.row * FEATURES + found.bucket, return_counts=True)
+            bounds = np.searchsorted(pair, np.arange(len(part) + 1) * FEATURES)
+            lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(x, t))
+                     for x, t in ((pair % FEATURES, pa.int32()), (count, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([*lists, part.column("domain")], ["bucket", "n", "domain"]) \
+                .filter(pa.array(found.n_tokens > 0))
+
+
+def fit_classifier(training: DataFrame, domains: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Buckets with weights, their weights (buckets x domains), and intercepts, from rows of ``_training_rows``.
+
+    The gradient of a bucket's weights is at most its count over all rows, divided by the rows. Where that is below the
+    penalty, weight 0 is the optimum whatever the other weights are; such buckets are left out before the fit.
+    """
+    rows = training.count()
+    kept = training.select(F.explode(F.arrays_zip("bucket", "n")).alias("x")).groupBy("x.bucket").agg(F.sum("x.n").alias("n")) \
+        .where(F.col("n") >= PENALTY * rows).select("bucket").collect()   # at most FEATURES numbers
+    used = np.array(sorted(r["bucket"] for r in kept), np.int64)
+
+    def vector(row):
+        bucket = np.array(row["bucket"], np.int64)
+        place = np.minimum(np.searchsorted(used, bucket), max(len(used) - 1, 0))
+        there = used[place] == bucket if len(used) else np.zeros(len(bucket), bool)
+        return Vectors.sparse(max(len(used), 1), place[there].tolist(), np.array(row["n"])[there].tolist()), float(domains.index(row["domain"]))
+
+    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType())])
+    ready = training.sparkSession.createDataFrame(training.rdd.map(vector), schema, verifySchema=False)
+    model = LogisticRegression(family="multinomial", maxIter=ITERATIONS, standardization=False, elasticNetParam=1.0,
+                               regParam=PENALTY).fit(ready)
+    weights = model.coefficientMatrix.toArray().T[:len(used)]
+    some = np.flatnonzero((weights != 0).any(axis=1))
+    return used[some], weights[some], model.interceptVector.toArray()
+
+
+def posteriors(found: Features, rows: int, buckets: np.ndarray, weights: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
+    """Probability of each domain for each of ``rows`` texts."""
+    slot = np.full(FEATURES, -1, np.int64)
+    slot[buckets] = np.arange(len(buckets))
+    own = slot[found.bucket]
+    row, own = found.row[own >= 0], own[own >= 0]
+    z = np.stack([np.bincount(row, weights[own, k], minlength=rows) for k in range(len(intercepts))], axis=1) + intercepts
+    z = np.exp(z - z.max(axis=1, keepdims=True))
+    return z / z.sum(axis=1, keepdims=True)
+
+
 def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame, list[str]]:
     """``docs`` with ``n_tokens`` and ``p_<domain>`` for each domain of ``labelled`` (doc_id, domain).
 
@@ -64,24 +190,23 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame,
     of doc_id. Of a document's conflicting labels ``toxic`` counts, else the first in alphabetical order.
     With a single domain its probability is 1 everywhere; without any labelled document there is one domain, ``all``.
     """
-    hashing = HashingTF(inputCol="_words", outputCol="_features", numFeatures=FEATURES)
     named = labelled.where(F.col("doc_id").isNotNull() & F.col("domain").isNotNull()) \
         .groupBy("doc_id").agg(F.when(F.max(F.col("domain") == "toxic"), "toxic").otherwise(F.min("domain")).alias("domain"))
     worded = docs.where(F.col("text").rlike(r"\S")).select("doc_id")   # a token is any character that is not white space
     known = F.broadcast(named.join(worded, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAINING_ROWS))  # bounded rows of two short columns
-    training = with_tokens(docs.select("doc_id", "text").join(known, "doc_id")).where("n_tokens > 0")
-    training = stored(hashing.transform(training).select("_features", "domain"), "training")
+    training = stored(docs.select("doc_id", "text").join(known, "doc_id").select("text", "domain")
+                      .mapInArrow(_training_rows, "bucket array<int>, n array<double>, domain string"), "training")
     domains = [r["domain"] for r in training.select("domain").distinct().orderBy("domain").collect()]
-    featured = with_tokens(docs)
-    if len(domains) < 2:
-        domains = domains or ["all"]
-        return featured.withColumn(f"p_{domains[0]}", F.lit(1.0)).drop("_words"), domains
-    index = F.array_position(F.array(*[F.lit(d) for d in domains]), F.col("domain")) - 1
-    model = LogisticRegression(featuresCol="_features", labelCol="_label", probabilityCol="_p", predictionCol="_best",
-                               rawPredictionCol="_raw", family="multinomial", maxIter=ITERATIONS, standardization=False,
-                               elasticNetParam=1.0, regParam=PENALTY).fit(training.withColumn("_label", index.cast("double")))
-    scored = model.transform(hashing.transform(featured)).withColumn("_p", vector_to_array("_p"))
-    return scored.select(*docs.columns, "n_tokens", *[F.col("_p")[i].alias(f"p_{d}") for i, d in enumerate(domains)]), domains
+    fitted = fit_classifier(training, domains) if len(domains) > 1 else None
+    domains = domains or ["all"]
+    names = [f"p_{d}" for d in domains]
+
+    def compute(part: pa.RecordBatch) -> dict[str, pa.Array]:
+        found = hashed_features(part.column("text"))
+        p = posteriors(found, len(part), *fitted) if fitted else np.ones((len(part), 1))
+        return {"n_tokens": pa.array(found.n_tokens, pa.int64()), **{n: pa.array(p[:, k]) for k, n in enumerate(names)}}
+
+    return add_columns(docs, ", ".join(["n_tokens long", *[f"`{n}` double" for n in names]]), compute), domains
 
 
 @dataclass
@@ -148,19 +273,19 @@ def fit_rates(weighted: DataFrame, domains: list[str], targets: dict[str, float]
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None,
-        keep: list[str] | None = None) -> tuple[DataFrame, list[str]]:
+        keep: list[str] | None = None, whole_from: float | None = None) -> tuple[DataFrame, list[str]]:
     """``docs`` (or its columns ``keep``) with n_tokens, p_<domain>, ``rate`` and ``copies``, and the domains.
 
-    ``copies`` is the rate rounded down or up by a hash of doc_id and text, in proportion; documents with a rate of at
-    least one half keep one copy at least. Texts without words have the classifier's prior and no weight. Nulls in any
-    column and repeated rows are taken as they are; columns of ``docs`` with the added names are replaced.
+    ``copies`` is the rate rounded down or up by a hash of doc_id and text, in proportion. With ``whole_from``, documents
+    of at least that rate keep one copy at least, which exceeds the targets by what rounding down would have left out.
+    Texts without words have the classifier's prior and no weight. Nulls in any column and repeated rows are taken as
+    they are; columns of ``docs`` with the added names are replaced.
     """
-    added = ["n_tokens", "rate", "copies"]
-    names = [c for c in docs.columns if c not in added and not c.startswith("p_")]
-    scored, domains = domain_posteriors(docs.select(*names), labelled)
-    key = F.xxhash64("doc_id", "text")
-    kept = stored(scored.withColumn("_key", key).select(
-        *(keep or names), "n_tokens", *[f"p_{d}" for d in domains], "_key"), "posteriors")
+    scored, domains = domain_posteriors(docs, labelled)
+    added = ["n_tokens", *[f"p_{d}" for d in domains]]
+    names = [c for c in keep or docs.columns if c not in (*added, "rate", "copies")]
+    kept = stored(scored.withColumn("_key", F.xxhash64("doc_id", "text")).select(
+        *names, "n_tokens", *[f"p_{d}" for d in domains], "_key"), "posteriors")
     fit = fit_rates(kept, domains, targets or TARGETS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +293,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
             rate, _ = replay(_numbers(batch, domains)[1], fit)
             chance = (batch.column("_key").to_numpy(zero_copy_only=False) >> 11 & ((1 << 53) - 1)) / float(1 << 53)
             copies = (np.floor(rate) + (chance < rate - np.floor(rate))).astype(np.int64)
-            copies = np.where(rate >= 0.5, np.maximum(copies, 1), copies)
+            if whole_from is not None:
+                copies = np.where(rate >= whole_from, np.maximum(copies, 1), copies)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rate), pa.array(copies)],
                                              [*batch.schema.names, "rate", "copies"])
 
@@ -176,10 +302,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     return kept.mapInArrow(run, schema).drop("_key"), domains
 
 
-def resample(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
-    """The rows of ``docs``, each as often as its rate asks for."""
+def resample(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None,
+             whole_from: float | None = None) -> DataFrame:
+    """The rows of ``docs``, each as often as its rate asks for; ``whole_from`` as in ``mix``."""
     names = docs.columns
     packed = docs.select("doc_id", "text", F.struct(*[docs[c] for c in names]).alias("_row"))
-    mixed, _ = mix(packed, labelled, targets, keep=["_row"])
+    mixed, _ = mix(packed, labelled, targets, keep=["_row"], whole_from=whole_from)
     return mixed.where("copies > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("_i")) \
         .select("_row.*")
