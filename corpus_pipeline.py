@@ -28,7 +28,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: each document as often as the target weights of the domains ask for; toxic ones go."""
-    return mixing.resample(docs, queries.domains(spark, sf_dir))
+    # A clean document of a rate near one must not be lost to rounding.
+    return mixing.resample(docs, queries.domains(spark, sf_dir), whole_from=0.5)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
