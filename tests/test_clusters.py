@@ -193,3 +193,34 @@ def test_anomaly_summary(spark):
     df = spark.createDataFrame([(0, 0), (0, 0), (1, 0), (-1, 1)], "dbscan_label int, is_anomalie int")
     row = dbscan.anomaly_summary(df).first()
     assert (row.n_clusters, row.n_anomalies, row.pct_anomalies) == (2, 1, 25.0)
+
+
+def test_dense_cells_are_counted_by_nodes(spark):
+    """A third of all points in one cell, and sparse points around it that see parts of it."""
+    rng = np.random.default_rng(11)
+    side = 0.5 / np.sqrt(2)
+    dense = rng.uniform(0.02, side - 0.02, (900, 2))
+    ring = rng.uniform(-0.9, 0.9 + side, (500, 2))
+    lines = np.stack([np.linspace(-3, 3, 800), np.full(800, 2.5)], axis=1)
+    points = np.concatenate([dense, ring, lines])[rng.permutation(2200)]
+    for min_samples in (40, 400):
+        labels, core = brute_dbscan(points, 0.5, min_samples)
+        got, got_core = run_dbscan(spark, points, 0.5, min_samples, leaf=8)
+        assert (got_core == core).all() and (got == labels).all()
+        assert core.any() and not core.all()
+
+
+def test_descent_lists_few_points_of_a_dense_cell(spark):
+    space = dbscan._Space(2, 1.0)
+    rng = np.random.default_rng(12)
+    inside = rng.uniform(0, space.side, (4000, 2))
+    points = spark.createDataFrame([(7, [float(a), float(b)], 2) for a, b in inside], "cell_id long, x array<double>, w long")
+    pairs = spark.createDataFrame([(1, [1.2, 0.3], [1.2, 0.3], 7, 8000, 4000, inside.min(0).tolist(), inside.max(0).tolist())],
+                                  "a_id long, a_lo array<double>, a_hi array<double>, b_id long, b_n long, b_pts long, "
+                                  "b_lo array<double>, b_hi array<double>")
+    whole, nodes = dbscan._descend(pairs, points, space, 16)
+    listed = nodes.agg(F.sum("n")).first()[0] / 2
+    assert listed < 400
+    near = dbscan._point_by_point(nodes.withColumn("x", F.array(F.lit(1.2), F.lit(0.3))), points, space, "a_id")
+    total = whole.agg(F.sum("n")).first()[0] + near.agg(F.sum("w")).first()[0]
+    assert total == 2 * int((((inside - [1.2, 0.3]) ** 2).sum(axis=1) <= 1).sum())
