@@ -34,6 +34,7 @@ TRAINING_ROWS = 20_000     # bound of the labelled rows that fit the classifier
 FEATURES = 1 << 17
 PENALTY = 1e-3
 ITERATIONS = 50
+FIT_TASKS = 2
 BEGINNINGS = (3, 5)        # characters of a word's beginnings
 STEPS = 60                 # passes over the table at most
 TOLERANCE = 1e-4           # relative distance of domain totals from their targets
@@ -153,8 +154,8 @@ def fit_classifier(training: DataFrame, domains: list[str]) -> tuple[np.ndarray,
     """
     rows = training.count()
     kept = training.select(F.explode(F.arrays_zip("bucket", "n")).alias("x")).groupBy("x.bucket").agg(F.sum("x.n").alias("n")) \
-        .where(F.col("n") >= PENALTY * rows).select("bucket").collect()   # at most FEATURES numbers
-    used = np.array(sorted(r["bucket"] for r in kept), np.int64)
+        .where(F.col("n") >= PENALTY * rows).select("bucket").toArrow()   # at most FEATURES numbers
+    used = np.sort(kept.column("bucket").to_numpy()).astype(np.int64)
 
     def vector(row):
         bucket = np.array(row["bucket"], np.int64)
@@ -164,6 +165,8 @@ def fit_classifier(training: DataFrame, domains: list[str]) -> tuple[np.ndarray,
 
     schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType())])
     ready = training.sparkSession.createDataFrame(training.rdd.map(vector), schema, verifySchema=False)
+    # The rows are bounded; the fewer tasks, the fewer gradients reach the driver in each iteration.
+    ready = stored(ready, "vectors").coalesce(FIT_TASKS)
     model = LogisticRegression(family="multinomial", maxIter=ITERATIONS, standardization=False, elasticNetParam=1.0,
                                regParam=PENALTY).fit(ready)
     weights = model.coefficientMatrix.toArray().T[:len(used)]
