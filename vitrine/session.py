@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_TABLES: list[str] = []   # paths stored by this process; "" once deleted
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "vitrine", **extra: str) -> SparkSession:
     """A session for tests and the local bench; a cluster brings its own."""
@@ -66,4 +69,26 @@ def store_table(df: DataFrame, label: str = "table") -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    _TABLES.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stored_so_far() -> int:
+    """How many tables this process has stored; a mark for ``stored_since``."""
+    return len(_TABLES)
+
+
+def stored_since(mark: int) -> list[str]:
+    return [path for path in _TABLES[mark:] if path]
+
+
+def drop_tables(df: DataFrame, paths: list[str]) -> None:
+    """Delete stored tables that nothing needs any more; those that ``df`` still reads stay."""
+    spark = df.sparkSession
+    read = "\n".join(df.inputFiles()) if paths else ""
+    for path in paths:
+        if path.rsplit("/", 1)[-1] in read:
+            continue
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+        _TABLES[_TABLES.index(path)] = ""
