@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm import decontaminate, language, minhash, mixing, queries, token_files
 from vitrine.llm.store import stored
+from vitrine.session import drop_tables, stored_since, stored_so_far
 
 TOKENIZER = "word_bpe_49k.json"
 ORACLE_SQL = None  # a learned language model, sketches and a tokenizer; tests compare the stages with plain versions
@@ -40,12 +43,32 @@ def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return token_files.token_digests(spark, uri)
 
 
+_left: list[str] = []   # tables stored by the stage before
+
+
+def tidy(stage):
+    """The stage, which first deletes what the stage before stored on its way.
+
+    A stage's result must therefore be written before the next stage starts, as ``run`` does; tables that the documents
+    given to a stage still read are kept.
+    """
+    @functools.wraps(stage)
+    def begin(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_tables(docs, _left)
+        mark = stored_so_far()
+        result = stage(spark, docs, sf_dir)
+        _left[:] = stored_since(mark)
+        return result
+
+    return begin
+
+
 STAGES = [
-    ("language_id", identify_language),
-    ("near_dedup", drop_near_duplicates),
-    ("decontamination", drop_contaminated),
-    ("mixing", mix_domains),
-    ("token_files", write_tokens),
+    ("language_id", tidy(identify_language)),
+    ("near_dedup", tidy(drop_near_duplicates)),
+    ("decontamination", tidy(drop_contaminated)),
+    ("mixing", tidy(mix_domains)),
+    ("token_files", tidy(write_tokens)),
 ]
 
 
