@@ -35,6 +35,7 @@ FEATURES = 1 << 17
 PENALTY = 1e-3
 ITERATIONS = 50
 FIT_TASKS = 2
+CHUNK_BYTES = 1 << 18      # text whose code points a task holds at a time
 BEGINNINGS = (3, 5)        # characters of a word's beginnings
 STEPS = 60                 # passes over the table at most
 TOLERANCE = 1e-4           # relative distance of domain totals from their targets
@@ -135,7 +136,7 @@ def _code_points(texts: pa.Array) -> np.ndarray:
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted buckets and their counts of each text with tokens."""
     for batch in batches:
-        for a, b in W.chunks(batch.column("text")):
+        for a, b in W.chunks(batch.column("text"), CHUNK_BYTES):
             part = batch.slice(a, b - a)
             found = hashed_features(part.column("text"))
             pair, count = np.unique(found.row * FEATURES + found.bucket, return_counts=True)
@@ -209,7 +210,8 @@ def domain_posteriors(docs: DataFrame, labelled: DataFrame) -> tuple[DataFrame,
         p = posteriors(found, len(part), *fitted) if fitted else np.ones((len(part), 1))
         return {"n_tokens": pa.array(found.n_tokens, pa.int64()), **{n: pa.array(p[:, k]) for k, n in enumerate(names)}}
 
-    return add_columns(docs, ", ".join(["n_tokens long", *[f"`{n}` double" for n in names]]), compute), domains
+    return add_columns(docs, ", ".join(["n_tokens long", *[f"`{n}` double" for n in names]]), compute,
+                       size=CHUNK_BYTES), domains
 
 
 @dataclass
