@@ -21,11 +21,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from vitrine.llm import words as W
+from vitrine.llm import softmax, words as W
 from vitrine.llm.arrow import add_columns
 from vitrine.llm.store import stored
 
@@ -34,7 +32,6 @@ TRAINING_ROWS = 20_000     # bound of the labelled rows that fit the classifier
 FEATURES = 1 << 17
 PENALTY = 1e-3
 ITERATIONS = 50
-FIT_TASKS = 2
 CHUNK_BYTES = 1 << 18      # text whose code points a task holds at a time
 BEGINNINGS = (3, 5)        # characters of a word's beginnings
 STEPS = 60                 # passes over the table at most
@@ -151,28 +148,37 @@ def fit_classifier(training: DataFrame, domains: list[str]) -> tuple[np.ndarray,
     """Buckets with weights, their weights (buckets x domains), and intercepts, from rows of ``_training_rows``.
 
     The gradient of a bucket's weights is at most its count over all rows, divided by the rows. Where that is below the
-    penalty, weight 0 is the optimum whatever the other weights are; such buckets are left out before the fit.
+    penalty, weight 0 is the optimum whatever the other weights are; such buckets are left out before the fit. The rows
+    are at most ``TRAINING_ROWS``, so one task fits them: 16 bytes for each distinct bucket of a text. Only the weights
+    that are not zero reach the driver.
     """
     rows = training.count()
     kept = training.select(F.explode(F.arrays_zip("bucket", "n")).alias("x")).groupBy("x.bucket").agg(F.sum("x.n").alias("n")) \
         .where(F.col("n") >= PENALTY * rows).select("bucket").toArrow()   # at most FEATURES numbers
-    used = np.sort(kept.column("bucket").to_numpy()).astype(np.int64)
-
-    def vector(row):
-        bucket = np.array(row["bucket"], np.int64)
-        place = np.minimum(np.searchsorted(used, bucket), max(len(used) - 1, 0))
-        there = used[place] == bucket if len(used) else np.zeros(len(bucket), bool)
-        return Vectors.sparse(max(len(used), 1), place[there].tolist(), np.array(row["n"])[there].tolist()), float(domains.index(row["domain"]))
-
-    schema = T.StructType([T.StructField("features", VectorUDT()), T.StructField("label", T.DoubleType())])
-    ready = training.sparkSession.createDataFrame(training.rdd.map(vector), schema, verifySchema=False)
-    # The rows are bounded; the fewer tasks, the fewer gradients reach the driver in each iteration.
-    ready = stored(ready, "vectors").coalesce(FIT_TASKS)
-    model = LogisticRegression(family="multinomial", maxIter=ITERATIONS, standardization=False, elasticNetParam=1.0,
-                               regParam=PENALTY).fit(ready)
-    weights = model.coefficientMatrix.toArray().T[:len(used)]
-    some = np.flatnonzero((weights != 0).any(axis=1))
-    return used[some], weights[some], model.interceptVector.toArray()
+    used = np.sort(kept.column("bucket").to_numpy()).astype(np.int32)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot = np.full(FEATURES, -1, np.int32)
+        slot[used] = np.arange(len(used), dtype=np.int32)
+        row, column, value, label, seen = [], [], [], [], 0
+        for batch in batches:
+            lists = batch.column("bucket")
+            own = slot[lists.flatten().to_numpy()]
+            at = np.repeat(np.arange(seen, seen + len(batch), dtype=np.int32), pc.list_value_length(lists).to_numpy())
+            row.append(at[own >= 0])
+            column.append(own[own >= 0])
+            value.append(batch.column("n").flatten().to_numpy()[own >= 0])
+            label.append(pc.index_in(batch.column("domain"), pa.array(domains)).to_numpy())
+            seen += len(batch)
+        counts = softmax.Sparse(np.concatenate(row), np.concatenate(column), np.concatenate(value), seen, len(used))
+        weights, intercepts = softmax.fit(counts, np.concatenate(label), len(domains), PENALTY, ITERATIONS)
+        some = np.flatnonzero((weights != 0).any(axis=1))
+        yield pa.RecordBatch.from_pydict({"bucket": pa.array([-1, *used[some]], pa.int32()),
+                                          "weights": pa.array([intercepts.tolist(), *weights[some].tolist()])})
+
+    fitted = training.coalesce(1).mapInArrow(run, "bucket int, weights array<double>").toArrow()
+    weights = np.array(fitted.column("weights").to_pylist())
+    return fitted.column("bucket").to_numpy()[1:].astype(np.int64), weights[1:].reshape(-1, len(domains)), weights[0]
 
 
 def posteriors(found: Features, rows: int, buckets: np.ndarray, weights: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
