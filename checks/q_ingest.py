@@ -134,14 +134,71 @@ WOO_SQL = f"""woo_rows AS (SELECT CAST(product_id AS VARCHAR) AS product_id, nom
 WOO_COLS = list(schemas.EXTERNAL_DEFAULTS)
 
 
-def woo(spark, sf):
+def woo(spark, sf, tag_limit=None):
     items = store_json.attach_store(store_json.woo_items(landed.woo_pages(spark, sf)), landed.stores(spark, sf))
-    return store_json.woo_rows(items)
+    return store_json.woo_rows(items, tag_limit)
 
 
 @query("woo_json_products", f"WITH {PRODUCTS}, {WOO_SQL} SELECT {', '.join(WOO_COLS)} FROM woo_rows WHERE pid % 97 <> 0")
 def woo_json_products(spark, sf):
-    return store_json.accepted(woo(spark, sf)).select(*WOO_COLS)
+    """As the bulk collector stores them: five tags."""
+    return store_json.accepted(woo(spark, sf, tag_limit=5)).select(*WOO_COLS)
+
+
+@query("woo_json_all_tags", f"WITH {PRODUCTS}, {WOO_SQL} SELECT product_id, tags || '; t6' AS tags FROM woo_rows WHERE pid % 97 <> 0")
+def woo_json_all_tags(spark, sf):
+    """Six tags, none of them lost."""
+    return store_json.accepted(woo(spark, sf)).select("product_id", "tags")
+
+
+@query("shop_json_all_tags", f"""WITH {BASE} SELECT CAST(product_id AS VARCHAR) AS product_id,
+replace(tags, ', ', '; ') || '; ' || couleur || '; ' || taille || '; a; b; bestseller' AS tags FROM typed""")
+def shop_json_all_tags(spark, sf):
+    """Products of more than five tags, as text or as a list; the last one raises the estimated rating."""
+    more = F.concat_ws(", ", "tags", "couleur", "taille", F.lit("a, b, bestseller"))
+    listed = F.when(pid() % 2 == 0, F.to_json(F.struct(F.col("product_id").alias("id"), F.split(more, ", ").alias("tags")))) \
+        .otherwise(F.to_json(F.struct(F.col("product_id").alias("id"), more.alias("tags"))))
+    df = products(spark, sf).select(F.col("marque_vendeur").alias("store"), F.lit(1).alias("page"),
+                                    F.concat(F.lit('{"products":['), listed, F.lit("]}")).alias("body"))
+    rows = store_json.shop_rows(store_json.attach_store(store_json.shop_items(df), landed.stores(spark, sf)))
+    return store_json.accepted(rows).select("product_id", "tags")
+
+
+@query("woo_json_quarantine", f"WITH {PRODUCTS}, {WOO_SQL} SELECT product_id, nom FROM woo_rows WHERE pid % 97 = 0")
+def woo_json_quarantine(spark, sf):
+    return store_json.quarantined(woo(spark, sf)).select("product_id", "nom")
+
+
+def planted(spark, sf, bodies):
+    """For each store the bodies, with their page numbers."""
+    each = F.explode(F.array(*[F.struct(F.lit(p).alias("page"), F.lit(b).cast("string").alias("body")) for p, b in bodies]))
+    return landed.stores(spark, sf).select(F.col("name").alias("store"), each.alias("x")).select("store", "x.page", "x.body")
+
+
+def damaged_woo_pages(spark, sf):
+    """The landed pages, and for each store a truncated page, a missing one, an object and one with damaged items."""
+    good = '{"id": 1, "name": "fine", "price": "2.5", "stock_quantity": 3}'
+    items = [good, "null", '{"id": 2, "categories": "none"}', '{"id": 3, "price": "1", "rating_count": 99999999999}']
+    bodies = [(9001, "[" + good + ", " + good[:20]), (9002, None), (9003, "[" + ", ".join(items) + "]"), (9004, "[]"),
+              (9005, '{"code": "rest_no_route"}')]
+    return landed.woo_pages(spark, sf).unionByName(planted(spark, sf, bodies))
+
+
+@query("woo_page_quarantine", f"""WITH {STORES_SQL}, planted(page, pos, reason) AS (VALUES (9001, 0, 'unparsable document'),
+(9002, 0, 'no document'), (9003, 1, 'null item'), (9003, 2, 'malformed item'), (9005, 0, 'unparsable document'))
+SELECT name AS store, page, pos, reason FROM stores, planted""")
+def woo_page_quarantine(spark, sf):
+    return store_json.faulty(store_json.woo_items(damaged_woo_pages(spark, sf))).drop("body")
+
+
+@query("woo_page_accounting", f"""WITH {PRODUCTS}, {WOO_SQL}, {STORES_SQL}, landed AS (SELECT count(*) AS n, count(*) FILTER (pid % 97 = 0) AS bad
+FROM woo_rows), shops AS (SELECT count(*) AS n FROM stores)
+SELECT true AS is_valid, landed.n - bad + shops.n AS items FROM landed, shops
+UNION ALL SELECT false, bad + 6 * shops.n FROM landed, shops""")
+def woo_page_accounting(spark, sf):
+    """Accepted and quarantined rows add up to what landed, of the second store kind too."""
+    items = store_json.attach_store(store_json.woo_items(damaged_woo_pages(spark, sf)), landed.stores(spark, sf))
+    return store_json.woo_rows(items).groupBy("is_valid").agg(F.count("*").alias("items"))
 
 
 @query("list_categories", f"""WITH {PRODUCTS}, {STORES_SQL}, c AS (SELECT DISTINCT marque_vendeur, categorie FROM products)
@@ -167,6 +224,32 @@ def list_woo_categories(spark, sf):
     return store_json.woo_categories(docs)
 
 
+LISTINGS = [(1, '{"collections": [{"handle": "a"}, {"handle": ""}]}'), (2, '{"collections": [{"handle": "b"}, {"han'), (3, None),
+            (4, '{"collections": []}'), (5, '{"collections": "soon"}'), (6, '{"collections": [{"handle": "c"}, 7]}')]
+WOO_LISTINGS = [(1, '[{"id": "a", "count": 2}, {"id": "b", "count": 0}]'), (2, '[{"id": "c", "count": 4}, {"i'), (3, None), (4, "[]"),
+                (5, '{"code": "rest_no_route"}'), (6, '[{"id": "d", "count": "many"}]')]
+
+
+@query("category_quarantine", f"""WITH {STORES_SQL}, faults(reason, n) AS (VALUES ('unparsable document', 3), ('no document', 1))
+SELECT name AS store, kind, reason, n::BIGINT AS documents FROM stores, faults, (VALUES ('shop'), ('woo')) k(kind)""")
+def category_quarantine(spark, sf):
+    """Category documents that are truncated, missing or of another shape, counted for each store and kind."""
+    shops, woos = (planted(spark, sf, listed) for listed in (LISTINGS, WOO_LISTINGS))
+    faults = store_json.shop_category_faults(shops).withColumn("kind", F.lit("shop")).unionByName(
+        store_json.woo_category_faults(woos).withColumn("kind", F.lit("woo")))
+    return faults.groupBy("store", "kind", "reason").agg(F.count("*").alias("documents"))
+
+
+@query("category_accepted", f"""WITH {STORES_SQL}, found(kind, suffix) AS (VALUES ('shop', '/collections/a/products.json'),
+('shop', '/products.json'), ('woo', 'a')) SELECT name AS store, CASE WHEN kind = 'shop' THEN rtrim(url, '/') || suffix ELSE suffix END AS category
+FROM stores, found""")
+def category_accepted(spark, sf):
+    """What the same documents list; only an empty list stands for the full listing."""
+    shops = store_json.attach_store(planted(spark, sf, LISTINGS), landed.stores(spark, sf))
+    return store_json.shop_categories(shops).select("store", F.col("category_url").alias("category")).unionByName(
+        store_json.woo_categories(planted(spark, sf, WOO_LISTINGS)).select("store", F.col("category_id").alias("category")))
+
+
 @query("normalize_category", f"WITH {BASE} SELECT product_id, category FROM mapped")
 def normalize_category_query(spark, sf):
     kind = (F.when(pid() % 16 == 0, "Men's Apparel").when(pid() % 18 == 0, "Gift Set").when(pid() % 20 == 0, "  ")
@@ -213,7 +296,7 @@ def normalize_tags(spark, sf):
     raw = F.concat("tags", F.lit(", "), "taille", F.lit(",, "), "couleur", F.lit(" ,x,y,z"))
     listed = F.to_json(F.split(raw, ","))
     mixed = F.when(pid() % 2 == 0, raw).otherwise(listed)
-    return products(spark, sf).select("product_id", text.join_tags(text.tag_list(mixed)).alias("tags"))
+    return products(spark, sf).select("product_id", text.join_tags(text.tag_list(mixed), 5).alias("tags"))
 
 
 @query("strip_html", """SELECT page_id, regexp_replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '^\\s+|\\s+$', '', 'g') AS plain

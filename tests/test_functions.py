@@ -61,8 +61,9 @@ def test_strip_html(spark):
 
 
 def test_tags(spark):
-    got = column(spark, ["a, b ,,c,d,e,f", '["x"," y ",""]', "", None], "string", lambda v: text.join_tags(text.tag_list(v)))
-    assert got == ["a; b; c; d; e", "x; y", "", ""]
+    raw = ["a, b ,,c,d,e,f", '["x"," y ",""]', "", None]
+    assert column(spark, raw, "string", lambda v: text.join_tags(text.tag_list(v), 5)) == ["a; b; c; d; e", "x; y", "", ""]
+    assert column(spark, raw, "string", lambda v: text.join_tags(text.tag_list(v))) == ["a; b; c; d; e; f", "x; y", "", ""]
 
 
 def test_quality_words(spark):

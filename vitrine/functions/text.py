@@ -29,9 +29,9 @@ def tag_list(raw: Column) -> Column:
     return F.coalesce(parts, F.array().cast("array<string>"))
 
 
-def join_tags(tags: Column, limit: int = 5) -> Column:
-    """The first five tags of a product as one text."""
-    return F.array_join(F.slice(tags, 1, limit), "; ")
+def join_tags(tags: Column, limit: int | None = None) -> Column:
+    """The tags of a product as one text; with ``limit`` only the first so many, as the bulk collector wants five."""
+    return F.array_join(tags if limit is None else F.slice(tags, 1, limit), "; ")
 
 
 def has_quality_word(tags: Column) -> Column:

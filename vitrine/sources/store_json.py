@@ -118,11 +118,12 @@ def faulty(items: DataFrame) -> DataFrame:
     return items.where(F.col("fault").isNotNull()).select("store", "page", "pos", F.col("fault").alias("reason"), F.col("raw").alias("body"))
 
 
-def shop_rows(items: DataFrame, double_discount: bool = False) -> DataFrame:
+def shop_rows(items: DataFrame, double_discount: bool = False, tag_limit: int | None = None) -> DataFrame:
     """Items of the first store kind as catalogue rows, plus ``is_valid``.
 
     The promo price is the sale price; ``double_discount`` applies the percent
-    to it once more, as the bulk collector does.
+    to it once more, as the bulk collector does, which also keeps five tags
+    (``tag_limit=5``). All tags are kept by default.
     """
     item = F.col("item")
     first = F.get(item["variants"], F.lit(0))
@@ -159,14 +160,14 @@ def shop_rows(items: DataFrame, double_discount: bool = False) -> DataFrame:
         F.lit(None).cast("date").alias("date_promotion"),
         store_url(F.col("store_url"), F.lit("/products/"), F.coalesce(item["handle"], F.lit(""))).alias("url"),
         strip_html(item["body_html"]).alias("description"),
-        join_tags(tag_list(item["tags"])).alias("tags"),
+        join_tags(tag_list(item["tags"]), tag_limit).alias("tags"),
         F.lit(0).alias("top_produit"), F.lit(0.0).alias("score_attractivite"),
         valid.alias("is_valid"),
     )
 
 
-def woo_rows(items: DataFrame) -> DataFrame:
-    """Items of the second store kind as catalogue rows, plus ``is_valid``."""
+def woo_rows(items: DataFrame, tag_limit: int | None = None) -> DataFrame:
+    """Items of the second store kind as catalogue rows, plus ``is_valid``; ``tag_limit`` as in ``shop_rows``."""
     item = F.col("item")
     list_text = F.when(~_blank(item["regular_price"]), item["regular_price"]).otherwise(item["price"])
     price = F.coalesce(_amount(list_text), F.lit(0.0))
@@ -196,7 +197,7 @@ def woo_rows(items: DataFrame) -> DataFrame:
         first_option(item["attributes"], "options", "size", "taille").alias("taille"),
         F.coalesce(item["permalink"], F.lit("")).alias("url"),
         strip_html(item["description"]).alias("description"),
-        join_tags(F.coalesce(item["tags"]["name"], F.array().cast("array<string>"))).alias("tags"),
+        join_tags(F.coalesce(item["tags"]["name"], F.array().cast("array<string>")), tag_limit).alias("tags"),
         F.lit(0).alias("top_produit"), F.lit(0.0).alias("score_attractivite"),
         valid.alias("is_valid"),
     )
@@ -211,18 +212,52 @@ def quarantined(rows: DataFrame) -> DataFrame:
     return rows.where(~F.col("is_valid")).drop("is_valid")
 
 
+def _opened_listing(docs: DataFrame, items: str | None, schema: str) -> DataFrame:
+    """Category documents with ``listed`` (the parsed list) and ``fault``, NULL where the document can be read.
+
+    An element of another type than the schema's makes its whole document faulty, as a list with a hole must not pass for
+    a complete one.
+    """
+    name = items or "items"
+    body = F.col("body") if items else F.concat(F.lit('{"items":'), F.col("body"), F.lit("}"))
+    parsed = F.from_json(body, f"struct<{name}:{schema},damaged__:string>", {"columnNameOfCorruptRecord": "damaged__"})
+    fault = F.when(F.col("body").isNull(), "no document").when(F.col("parsed__.damaged__").isNotNull(), "unparsable document")
+    return docs.withColumn("parsed__", parsed).withColumns({"fault": fault, "listed": F.col(f"parsed__.{name}")}).drop("parsed__")
+
+
+def _shop_listing(docs: DataFrame) -> DataFrame:
+    return _opened_listing(docs, "collections", "array<struct<handle:string>>")
+
+
+def _woo_listing(docs: DataFrame) -> DataFrame:
+    return _opened_listing(docs, None, schemas.WOO_CATEGORIES)
+
+
 def shop_categories(docs: DataFrame) -> DataFrame:
-    """Collection addresses of each store; a store without any gets its full listing."""
+    """Collection addresses of each store; a store whose list is empty gets its full listing.
+
+    A document that can't be read gives no address, least of all the full listing: see ``shop_category_faults``.
+    """
     base = F.regexp_replace("store_url", "/+$", "")
-    handles = F.filter(F.from_json("body", schemas.SHOP_COLLECTIONS)["collections"]["handle"],
-                       lambda h: F.coalesce(h, F.lit("")) != "")
-    rows = docs.select("store", base.alias("base"), F.explode_outer(handles).alias("handle"))
+    handles = F.filter(F.col("listed.handle"), lambda h: F.coalesce(h, F.lit("")) != "")
+    rows = _shop_listing(docs).where(F.col("fault").isNull()).select(
+        "store", base.alias("base"), F.explode_outer(handles).alias("handle"))
     path = F.when(F.col("handle").isNull(), F.lit("/products.json")).otherwise(
         F.concat(F.lit("/collections/"), F.col("handle"), F.lit("/products.json")))
     return rows.select("store", F.concat("base", path).alias("category_url"))
 
 
 def woo_categories(docs: DataFrame) -> DataFrame:
-    """Identifiers of the non-empty categories of each store."""
-    rows = docs.select("store", F.explode(F.from_json("body", schemas.WOO_CATEGORIES)).alias("cat"))
+    """Identifiers of the non-empty categories of each store; documents with a fault: see ``woo_category_faults``."""
+    rows = _woo_listing(docs).where(F.col("fault").isNull()).select("store", F.explode("listed").alias("cat"))
     return rows.where(F.coalesce(F.col("cat.count"), F.lit(0)) > 0).select("store", F.col("cat.id").alias("category_id"))
+
+
+def shop_category_faults(docs: DataFrame) -> DataFrame:
+    """Category documents of the first store kind that can't be read, with the reason and the text that landed."""
+    return _shop_listing(docs).where(F.col("fault").isNotNull()).select("store", F.col("fault").alias("reason"), "body")
+
+
+def woo_category_faults(docs: DataFrame) -> DataFrame:
+    """The same for the second store kind."""
+    return _woo_listing(docs).where(F.col("fault").isNotNull()).select("store", F.col("fault").alias("reason"), "body")
