@@ -11,6 +11,11 @@ from pyspark.sql import types as T
 from vitrine.llm.words import CHUNK_BYTES, chunks
 
 
+def hand_back() -> None:
+    """Return freed Arrow memory to the system; a worker that stays for later stages would keep it."""
+    pa.default_memory_pool().release_unused()
+
+
 def add_columns(df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], dict[str, pa.Array]],
                 column: str = "text", size: int = CHUNK_BYTES) -> DataFrame:
     """``df`` with the columns ``fields`` (DDL), computed from chunks of at most ``size`` bytes of ``column``.
@@ -27,6 +32,7 @@ def add_columns(df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch],
                 part = batch.slice(a, b - a)
                 new = compute(part)
                 yield pa.RecordBatch.from_arrays([*part.columns, *(new[n] for n in added.names)], names)
+        hand_back()
 
     return base.mapInArrow(run, T.StructType([*base.schema.fields, *added.fields]))
 
@@ -38,5 +44,6 @@ def emit_rows(df: DataFrame, fields: str, compute: Callable[[pa.RecordBatch], It
         for batch in batches:
             for a, b in chunks(batch.column(column), size):
                 yield from compute(batch.slice(a, b - a))
+        hand_back()
 
     return df.mapInArrow(run, fields)

@@ -25,6 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vitrine.llm import words as W
+from vitrine.llm.arrow import hand_back
 from vitrine.session import scratch_path
 
 END_ID = 1
@@ -189,6 +190,7 @@ def _writer(uri: str, content, width: int, end_id: int):
         folder, task = Folder(uri), TaskContext.get()
         part, own = task.partitionId(), f".{task.taskAttemptId()}.tmp"
         files, documents, total = None, 0, 0
+        hand_back()
         for batch in batches:
             encoder = W.worker_cache(f"words_{zlib.crc32(content.value.encode())}", lambda: WordEncoder(content.value))
             if files is None:
