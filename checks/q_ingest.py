@@ -17,7 +17,7 @@ from .fixtures import products, table
 from .landed import STORES_SQL, pid
 from .oracle_views import PRODUCTS, np_round
 from .q_scores import collector_cte
-from .registry import query
+from .registry import ORACLES, query
 
 _PRIO = [(w, c) for c, words in schemas.CATEGORY_WORDS.items() for w in words]
 WORDS_SQL = "words(word, cat, prio) AS (VALUES " + ", ".join(
@@ -407,6 +407,32 @@ def consolidate(spark, sf):
         "product_id", "nom", "marque_vendeur", "prix", "rating", "nb_reviews", "url")
 
 
+def openers(spark, sf):
+    """Two stores that can be read, and between them a folder that does not exist."""
+    def numbered(rows):
+        return store_json.accepted(rows).withColumn("seq", F.col("product_id").cast("long"))
+
+    missing = scratch_path(spark, "never-landed")
+    return {"shop": lambda: numbered(shop(spark, sf)), "gone": lambda: spark.read.parquet(missing),
+            "woo": lambda: numbered(woo(spark, sf))}
+
+
+@query("consolidate_sources", ORACLES["consolidate"])
+def consolidate_sources(spark, sf):
+    """The other sources complete where one can't be read."""
+    result, _ = flows.consolidate_sources(spark, openers(spark, sf), order=["seq"])
+    return result.select("product_id", "nom", "marque_vendeur", "prix", "rating", "nb_reviews", "url")
+
+
+@query("source_report", f"""WITH {BASE}, {SHOP_SQL}, {WOO_SQL}
+SELECT 0 AS source_no, 'shop' AS name, 'read' AS status, (SELECT COUNT(*) FROM shop_rows {GOOD}) AS n_rows, false AS faulty
+UNION ALL SELECT 1, 'gone', 'failed', NULL, true
+UNION ALL SELECT 2, 'woo', 'read', (SELECT COUNT(*) FROM woo_rows WHERE pid % 97 <> 0), false""")
+def source_report(spark, sf):
+    _, report = flows.open_sources(spark, openers(spark, sf))
+    return report.select("source_no", "name", "status", "n_rows", F.col("fault").isNotNull().alias("faulty"))
+
+
 @query("ingest_flow", f"""WITH {BASE}, {SHOP_SQL}, {WOO_SQL}, u AS (
 SELECT 0 AS src, pid, product_id, nom, prix, rating, nb_reviews, en_stock, url FROM shop_rows {GOOD}
 UNION ALL SELECT 1, pid, product_id, nom, prix, rating, nb_reviews, en_stock, url FROM woo_rows WHERE pid % 97 <> 0),

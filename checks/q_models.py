@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from vitrine.functions.numeric import half_even
@@ -64,6 +65,32 @@ def basket_onehot(spark, sf):
     return rules.basket_onehot(baskets(spark, sf), "l_orderkey", "item", KINDS)
 
 
+WORDS = """words AS (SELECT DISTINCT l_orderkey AS g, unnest(string_split(p_name, ' ')) AS item FROM lineitem JOIN part ON l_partkey = p_partkey),
+vocab AS (SELECT item, row_number() OVER (ORDER BY item) - 1 AS place FROM (SELECT DISTINCT item FROM words))"""
+
+
+def order_words(spark, sf):
+    """(order, word) pairs of the names of the parts sold."""
+    pairs = baskets(spark, sf, "p_name")
+    return pairs.select("l_orderkey", F.explode(F.split("item", " ")).alias("word"))
+
+
+@query("basket_vectors", f"""WITH {WORDS} SELECT g AS l_orderkey, CAST(COUNT(*) AS DOUBLE) AS ones,
+string_agg(place, ',' ORDER BY place) AS places FROM words JOIN vocab USING (item) GROUP BY g""")
+def basket_vectors(spark, sf):
+    """Sparse vectors over the words of the names, shown by their places."""
+    vectors, _ = rules.basket_vectors(order_words(spark, sf), "l_orderkey", "word")
+    x = vector_to_array("items")
+    held = F.filter(F.transform(x, lambda v, i: F.when(v == 1.0, i)), lambda i: i.isNotNull())
+    return vectors.select("l_orderkey", F.aggregate(x, F.lit(0.0), lambda a, v: a + v).alias("ones"),
+                          F.array_join(held, ",").alias("places"))
+
+
+@query("basket_vocabulary", f"WITH {WORDS} SELECT item, CAST(place AS INTEGER) AS place FROM vocab")
+def basket_vocabulary(spark, sf):
+    return rules.basket_vectors(order_words(spark, sf), "l_orderkey", "word")[1]
+
+
 @query("frequent_itemsets", f"WITH {mined(TYPES, 0.05)} SELECT items, size, freq, {np_round('support', 4)} AS support FROM sets JOIN named USING (m)")
 def frequent_itemsets(spark, sf):
     return rules.frequent_itemsets(order_sets(spark, sf), 0.05)

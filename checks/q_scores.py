@@ -8,7 +8,7 @@ from vitrine.functions import pricing, text
 from vitrine.functions.numeric import half_even, steady_mean
 from vitrine.operators import reports, scoring, topk
 
-from .fixtures import products
+from .fixtures import products, table
 from .oracle_views import PRODUCTS, mean, np_round, scored_view
 from .registry import query
 
@@ -191,6 +191,14 @@ def filter_products(spark, sf):
     return CHOICE.apply(scored(spark, sf)).select(*SHOW)
 
 
+@query("filter_long_choice", f"""WITH {SCORED} SELECT {SHOW_SQL} FROM scored WHERE en_stock = 1
+AND marque_vendeur IN (SELECT s_name FROM supplier WHERE s_acctbal > 0)""")
+def filter_long_choice(spark, sf):
+    """Shops chosen by a table: every supplier with a positive balance."""
+    chosen = table(spark, sf, "supplier").where("s_acctbal > 0").select("s_name")
+    return reports.ProductFilter(shops=chosen, in_stock_only=True).apply(scored(spark, sf)).select(*SHOW)
+
+
 @query("market_context", f"""WITH {SCORED}
 SELECT 'stats' AS section, 1 AS ord, '  nb_produits_total: ' || COUNT(*) AS line FROM scored
 UNION ALL SELECT 'stats', 2, '  prix_moyen: ' || printf('%.2f', {np_round(mean('prix'), 2)}) FROM scored

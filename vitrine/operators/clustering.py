@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import half_even, steady_mean
+from ..session import store_table
 from .cluster_metrics import davies_bouldin, silhouette, silhouette_squared
+from .coreset import Centres, fit_many, silhouettes, summary
 from .features import assemble
 from .scaling import zscore_columns
 from .ward import LEAVES, Ward
@@ -17,6 +18,7 @@ from .ward import LEAVES, Ward
 CLUSTER_FEATURES = ["prix", "rating", "nb_reviews", "quantite_stock", "delai_livraison_j", "remise_pct"]
 DASHBOARD_FEATURES = ["prix", "rating", "nb_reviews", "quantite_stock", "delai_livraison_j"]
 SEGMENT_NAMES = ["Discount", "Populaire", "Premium"]
+LLOYD_STEPS = 50
 
 
 def feature_matrix(df: DataFrame, features: list[str] | None = None) -> tuple[DataFrame, list[str]]:
@@ -26,22 +28,25 @@ def feature_matrix(df: DataFrame, features: list[str] | None = None) -> tuple[Da
     return assemble(zscore_columns(df, names), scaled), scaled
 
 
-def best_kmeans(matrix: DataFrame, k: int, restarts: int = 10, seed: int = 42):
-    """The model with the lowest inertia among ``restarts`` seeds."""
-    best = None
-    for attempt in range(restarts):
-        model = KMeans(k=k, seed=seed + attempt, initMode="k-means||", featuresCol="features",
-                       predictionCol="cluster").fit(matrix)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+def best_kmeans(matrix: DataFrame, k: int, restarts: int = 10, seed: int = 42, leaves: int = LEAVES) -> Centres:
+    """Centres with the lowest inertia among ``restarts``.
+
+    Restarts run on the clustering features of all rows; the best is then moved by Lloyd's step over all rows until
+    its inertia no longer falls. An empty matrix is refused.
+    """
+    weights, centroids = summary(matrix, leaves)
+    if not len(weights):
+        raise ValueError("no rows to cluster")
+    points = matrix.select(vector_to_array("features").alias("x"))
+    last = fit_many(points, weights, centroids, [k], restarts, seed, LLOYD_STEPS)
+    return Centres(last.centres[0], last.inertia()[0])
 
 
 def kmeans_segments(matrix: DataFrame, k: int = 3, restarts: int = 10, seed: int = 42):
-    """Matrix rows with ``cluster_kmeans`` and ``cluster_label``, plus the model."""
-    model = best_kmeans(matrix.cache(), k, restarts, seed)
-    labelled = model.transform(matrix).withColumnRenamed("cluster", "cluster_kmeans")
-    return name_clusters(labelled, "cluster_kmeans", k), model
+    """Matrix rows with ``cluster_kmeans`` and ``cluster_label``, plus the fitted centres."""
+    matrix = store_table(matrix, "matrix")
+    model = best_kmeans(matrix, k, restarts, seed)
+    return name_clusters(model.transform(matrix, "cluster_kmeans"), "cluster_kmeans", k), model
 
 
 def name_clusters(df: DataFrame, cluster: str = "cluster_kmeans", k: int = 3, price: str = "prix") -> DataFrame:
@@ -68,21 +73,26 @@ def cluster_profile(df: DataFrame, cluster: str, features: list[str] | None = No
 
 
 def elbow(matrix: DataFrame, scaled: list[str], k_max: int = 10, restarts: int = 10, seed: int = 42,
-          exact: bool = False, key: str = "product_id") -> DataFrame:
-    """Inertia and silhouette for k = 2..k_max.
+          exact: bool = False, key: str = "product_id", leaves: int = LEAVES, steps: int = 2) -> DataFrame:
+    """Inertia and silhouette for k = 2..k_max, both over all rows.
 
-    The silhouette is the linear-time squared one unless ``exact`` asks for the
-    Euclidean one, whose cost is quadratic.
+    The rows are read once for their clustering features, on which all restarts of all k run, then once for each of
+    at most ``steps`` Lloyd steps and twice to measure; every pass serves all k. The silhouette is the linear-time
+    squared one unless ``exact`` asks for the Euclidean one, whose cost is quadratic. No rows give an empty table.
     """
-    matrix = matrix.cache()
-    spark, rows = matrix.sparkSession, []
-    for k in range(2, k_max + 1):
-        model = best_kmeans(matrix, k, restarts, seed)
-        labelled = model.transform(matrix)
-        score = silhouette(labelled, key, "cluster", scaled) if exact else \
-            silhouette_squared(labelled, "cluster", scaled)
-        rows.append((k, float(model.summary.trainingCost), score.first()[0]))
-    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
+    spark, schema = matrix.sparkSession, "k int, inertia double, silhouette double"
+    matrix = store_table(matrix, "matrix")
+    weights, centroids = summary(matrix, leaves)
+    if not len(weights):
+        return spark.createDataFrame([], schema)
+    points, ks = matrix.select(vector_to_array("features").alias("x")), list(range(2, k_max + 1))
+    last = fit_many(points, weights, centroids, ks, restarts, seed, steps)
+    if exact:
+        scores = [silhouette(Centres(c, i).transform(matrix), key, "cluster", scaled).first()[0]
+                  for c, i in zip(last.centres, last.inertia())]
+    else:
+        scores = [round(s, 6) for s in silhouettes(points, last)]
+    return spark.createDataFrame(list(zip(ks, last.inertia(), scores)), schema)
 
 
 def hierarchical_segments(matrix: DataFrame, k: int = 3, leaves: int = LEAVES) -> DataFrame:

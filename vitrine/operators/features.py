@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import pricing
 from ..functions.numeric import half_even
@@ -23,20 +23,37 @@ SCALED = ["prix", "rating", "nb_reviews", "quantite_stock", "delai_livraison_j",
 MISSING_LABEL = "nan"
 
 
+def _label_text(column: str) -> Column:
+    return F.coalesce(F.col(column).cast("string"), F.lit(MISSING_LABEL))
+
+
+def label_codes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Stored table (column, value, code) of the labels of the columns present; none of them gives no rows."""
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        return df.sparkSession.createDataFrame([], "column string, value string, code int")
+    return value_codes(df.select(*[_label_text(c).alias(c) for c in present]), present)
+
+
+def with_codes(df: DataFrame, codes: DataFrame, columns: list[str], unseen: int | None = None) -> DataFrame:
+    """Add ``<c>_enc`` out of a table of codes; labels it lacks get ``unseen``."""
+    for column in columns:
+        one = codes.where(F.col("column") == column).select(
+            F.col("value").alias("label__"), F.col("code").alias(f"{column}_enc"))
+        df = df.withColumn("text__", _label_text(column)).join(one, F.col("text__") == F.col("label__"), "left")
+        df = df.drop("text__", "label__")
+    if unseen is not None:
+        df = df.fillna(unseen, [f"{c}_enc" for c in columns])
+    return df
+
+
 def encode_labels(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Add ``<c>_enc``: rank of the value among the sorted distinct values.
 
     A missing value is the literal class ``nan``, as text conversion makes it.
     """
     present = [c for c in (columns or ENCODED) if c in df.columns]
-    texts = {c: F.coalesce(F.col(c).cast("string"), F.lit(MISSING_LABEL)) for c in present}
-    codes = value_codes(df.select(*[text.alias(c) for c, text in texts.items()]), present)
-    for column, text in texts.items():
-        one = codes.where(F.col("column") == column).select(
-            F.col("value").alias("label__"), F.col("code").alias(f"{column}_enc"))
-        df = df.withColumn("text__", text).join(one, F.col("text__") == F.col("label__"), "left")
-        df = df.drop("text__", "label__")
-    return df
+    return with_codes(df, label_codes(df, present), present)
 
 
 def derive_features(df: DataFrame) -> DataFrame:

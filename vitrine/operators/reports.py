@@ -13,23 +13,34 @@ from .ordering import quantiles
 from .topk import rank_top
 
 
+LONG_CHOICE = 200
+
+
 @dataclass
 class ProductFilter:
-    """Interactive filter choices; an empty choice means no restriction."""
+    """Interactive filter choices.
 
-    categories: list[str] = field(default_factory=list)
-    shops: list[str] = field(default_factory=list)
-    countries: list[str] = field(default_factory=list)
-    platforms: list[str] = field(default_factory=list)
+    A choice is a list, where an empty one means no restriction, or a one-column frame, where an empty one selects
+    nothing. Up to ``LONG_CHOICE`` values are literals of one pushable predicate; longer lists and frames are stored
+    and semi-joined, broadcast by their bytes or else shuffled with a Bloom filter where the session allows it.
+    """
+
+    categories: list[str] | DataFrame = field(default_factory=list)
+    shops: list[str] | DataFrame = field(default_factory=list)
+    countries: list[str] | DataFrame = field(default_factory=list)
+    platforms: list[str] | DataFrame = field(default_factory=list)
     price_range: tuple[float, float] | None = None
     in_stock_only: bool = False
 
+    def _choices(self) -> list[tuple[str, list[str] | DataFrame]]:
+        return [("categorie", self.categories), ("marque_vendeur", self.shops),
+                ("pays_shop", self.countries), ("plateforme", self.platforms)]
+
     def predicate(self) -> Column:
-        """One pushable predicate; scores are not recomputed after filtering."""
+        """The pushable part; scores are not recomputed after filtering."""
         test = F.lit(True)
-        for column, chosen in (("categorie", self.categories), ("marque_vendeur", self.shops),
-                               ("pays_shop", self.countries), ("plateforme", self.platforms)):
-            if chosen:
+        for column, chosen in self._choices():
+            if not _is_long(chosen) and chosen:
                 test = test & F.col(column).isin(chosen)
         if self.price_range is not None:
             test = test & F.col("prix").between(*[float(p) for p in self.price_range])
@@ -38,7 +49,18 @@ class ProductFilter:
         return test
 
     def apply(self, df: DataFrame) -> DataFrame:
-        return df.where(self.predicate())
+        df = df.where(self.predicate())
+        for column, chosen in self._choices():
+            if _is_long(chosen):
+                table = chosen if isinstance(chosen, DataFrame) else \
+                    df.sparkSession.createDataFrame([(c,) for c in chosen], "choice__ string")
+                table = store_table(table.toDF("choice__").distinct(), "choices")
+                df = df.join(table, F.col(column) == F.col("choice__"), "left_semi")
+        return df
+
+
+def _is_long(chosen: list[str] | DataFrame) -> bool:
+    return isinstance(chosen, DataFrame) or len(chosen) > LONG_CHOICE
 
 
 def filter_options(df: DataFrame) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.linalg import VectorUDT
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions.numeric import half_even
 from ..session import store_table
 from ..sources.tables import write_table
+from .ordering import value_codes
 
 ITEMSET_SCHEMA = "items string, size int, freq long, support double"
 RULE_SCHEMA = "antecedents string, consequents string, support double, confidence double, lift double"
@@ -28,6 +30,27 @@ def basket_onehot(df: DataFrame, group: str, item: str, vocabulary: list | None
     return marks.fillna(0)
 
 
+def basket_vectors(df: DataFrame, group: str, item: str) -> tuple[DataFrame, DataFrame]:
+    """Sparse 0/1 vector ``items`` of every group, and the vocabulary (``item``, ``place``).
+
+    For vocabularies too wide for columns: items are numbered by code point in a distributed pass, without a limit, and
+    nothing but the number of items comes to the driver. A missing item adds nothing; a group of missing items only
+    has an empty vector. A vector is bounded by the distinct items of its group. Vectors are written in the layout in
+    which Spark keeps sparse vectors, and read back as such.
+    """
+    pairs = df.select(F.col(group), F.col(item).cast("string").alias("item__"))
+    codes = value_codes(pairs.where(F.col("item__").isNotNull()).select(F.col("item__").alias("item")), ["item"])
+    vocabulary = codes.select(F.col("value").alias("item"), F.col("code").alias("place"))
+    width = vocabulary.count()
+    placed = pairs.join(vocabulary, F.col("item__") == F.col("item"), "left")
+    places = F.sort_array(F.collect_set("place"))
+    grouped = placed.groupBy(group).agg(places.alias("places"))
+    sparse = F.struct(F.lit(0).cast("byte").alias("type"), F.lit(width).alias("size"), F.col("places").alias("indices"),
+                      F.array_repeat(F.lit(1.0), F.size("places")).alias("values"))
+    schema = T.StructType([df.schema[group], T.StructField("items", VectorUDT())])
+    return store_table(grouped.select(group, sparse.alias("items")), "vectors", schema), vocabulary
+
+
 def _fit(baskets: DataFrame, min_support: float, min_confidence: float):
     return FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
 

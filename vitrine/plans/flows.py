@@ -6,10 +6,15 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import PySparkException
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from py4j.protocol import Py4JError
 
 from ..operators import classify, clean, clustering, features, reports, rules, scoring, topk
+from .. import schemas
 from ..operators.dbscan import anomaly_summary, dbscan
+from ..operators.preparation import CataloguePreparation
 from ..session import cut_lineage, store_table
 from ..sources.tables import union_sources, write_table
 
@@ -40,6 +45,43 @@ def consolidate(sources: list[DataFrame], order: list[str], sink: str | None = N
     return rules.with_sink(result, sink)
 
 
+OPENED, FAILED = "read", "failed"
+SOURCE_REPORT = "source_no int, name string, status string, n_rows long, fault string"
+
+
+def open_sources(spark: SparkSession, openers: dict[str, Callable[[], DataFrame]]) -> tuple[list[DataFrame], DataFrame]:
+    """Each source read on its own: (stored frames, report of one row a source).
+
+    An opener gives the source's accepted rows. Opening and reading both happen here, and what is read is stored, so a
+    missing path, a damaged file or a failing parser costs its own source only. Stored frames carry ``source_no``, their
+    place among the openers, whichever of them failed.
+    """
+    frames, report = [], []
+    for place, (name, opener) in enumerate(openers.items()):
+        try:
+            frame = store_table(opener().withColumn("source_no", F.lit(place)), "source")
+        except (PySparkException, Py4JError, OSError, ValueError) as error:
+            report.append((place, name, FAILED, None, f"{type(error).__name__}: {str(error).strip().splitlines()[0][:200]}"))
+        else:
+            frames.append(frame)
+            report.append((place, name, OPENED, frame.count(), None))
+    return frames, spark.createDataFrame(report, SOURCE_REPORT)
+
+
+def consolidate_sources(spark: SparkSession, openers: dict[str, Callable[[], DataFrame]], order: list[str],
+                        sink: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """``consolidate`` over the sources that can be read: (result, report of all sources).
+
+    With no readable source the result is an empty catalogue.
+    """
+    frames, report = open_sources(spark, openers)
+    if not frames:
+        empty = spark.createDataFrame([], schemas.PRODUCTS).withColumn("source_no", F.lit(0))
+        frames = [empty.withColumns({c: F.lit(None).cast("string") for c in ["url", *order] if c not in empty.columns})]
+    result = clean.clean_consolidated(union_sources(*frames), ["source_no", *order])
+    return rules.with_sink(result, sink), report
+
+
 def ingest(sources: list[DataFrame], order: list[str], strict: bool = False,
            sink: str | None = None) -> DataFrame:
     """Union, dedup by url, ratings if absent, score, label; optional CSV sink.
@@ -72,9 +114,9 @@ class ClusterRun:
 
 def full_clustering(df: DataFrame, key: str = "product_id", k: int = 3, k_max: int = 10, restarts: int = 10,
                     eps: float = 1.0, min_samples: int = 15) -> ClusterRun:
-    """Elbow, k-means, hierarchy, density anomalies and projection of one cached matrix."""
+    """Elbow, k-means, hierarchy, density anomalies and projection of one stored matrix."""
     matrix, scaled = clustering.feature_matrix(df)
-    matrix = matrix.cache()
+    matrix = store_table(matrix, "matrix")
     rows, _ = clustering.kmeans_segments(matrix, k, restarts)
     rows = clustering.hierarchical_segments(rows, k)
     density = dbscan(matrix, key, scaled, eps, min_samples)
@@ -115,11 +157,18 @@ def analyse(df: DataFrame, order: list[str], baskets: tuple[DataFrame, str, str]
 
 def staged(df: DataFrame, order: list[str], k: int = 20, rounds: int = 200,
            model_path: str | None = None) -> dict[str, object]:
-    """Prepare once, then select the Top-K and train boosted trees on the same frame."""
-    frame = features.staged_features(clean.clean_staged(df, order)).persist()
+    """Prepare once, then select the Top-K and train boosted trees on the same frame.
+
+    ``artefact`` is one pipeline of the fitted preparation and the trees: it takes raw rows, and adds ``prediction`` and
+    ``probability``. It is saved below ``model_path`` if one is given.
+    """
+    unique = clean.keep_first(df, ["product_id"], order)
+    preparation = CataloguePreparation().fit(unique)
+    frame = preparation.transform(unique).drop("features").persist()
     scored = scoring.topk_score(frame)
     trained, metrics, _ = classify.train_boosted_trees(frame, rounds=rounds, preset="staged", weighted=False)
+    artefact = PipelineModel([preparation, *trained.model.stages])
     if model_path:
-        classify.save_model(trained.model, model_path)
-    return {"topk": topk.rank_top(scored, k), "topk_metrics": reports.topk_metrics(scored, k),
-            "model": trained, "model_metrics": metrics.select("accuracy", "f1", "auc")}
+        classify.save_model(artefact, model_path)
+    return {"topk": topk.rank_top(scored, k), "topk_metrics": reports.topk_metrics(scored, k), "model": trained,
+            "artefact": artefact, "model_metrics": metrics.select("accuracy", "f1", "auc")}

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 
 _TABLES: list[str] = []   # paths stored by this process; "" once deleted
@@ -60,17 +60,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def store_table(df: DataFrame, label: str = "table") -> DataFrame:
+def store_table(df: DataFrame, label: str = "table", schema: T.StructType | None = None) -> DataFrame:
     """``df`` as columnar files in the shared folder.
 
     The planner knows the bytes of a stored table and broadcasts it only below
     the session's threshold; above, joins shuffle and adaptive execution splits
-    hot keys.
+    hot keys. ``schema`` names the types to read back, where they are not those written.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     _TABLES.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)
 
 
 def stored_so_far() -> int:
