@@ -2,40 +2,63 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 
 MEMORY = 10          # pairs of steps and gradient differences that shape a direction
 SUFFICIENT = 1e-4    # share of the expected decrease that a step must reach
 SHORTEST = 1e-10     # shortest step tried
+STRIP = 1 << 19      # entries that are widened at a time
 
 
 @dataclass
 class Sparse:
-    """Entries of a matrix, each listed once: rows, columns and values."""
+    """Entries of a matrix, each listed once: rows, columns and values, the values divided by ``scale`` of their column.
+
+    Sums go over strips of entries in their order, so the matrix needs no memory beside the three arrays, of any width,
+    and sums are those of one pass.
+    """
 
     row: np.ndarray
     column: np.ndarray
     value: np.ndarray
     rows: int
     columns: int
+    scale: np.ndarray | None = None
+
+    def _strips(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for a in range(0, len(self.value), STRIP):
+            column, value = self.column[a:a + STRIP], self.value[a:a + STRIP].astype(float)
+            yield self.row[a:a + STRIP], column, value if self.scale is None else value / self.scale[column]
 
     def times(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, self.value * weights[self.column], minlength=self.rows)
+        out = np.zeros(self.rows)
+        for row, column, value in self._strips():
+            out = _added(out, row, value * weights[column])
+        return out
 
     def transposed_times(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.column, self.value * weights[self.row], minlength=self.columns)
+        out = np.zeros(self.columns)
+        for row, column, value in self._strips():
+            out = _added(out, column, value * weights[row])
+        return out
 
     def deviations(self) -> np.ndarray:
         """Population standard deviation of each column; 1 where it is 0."""
-        mean = np.bincount(self.column, self.value, minlength=self.columns) / self.rows
-        square = np.bincount(self.column, self.value ** 2, minlength=self.columns) / self.rows
-        deviation = np.sqrt(np.maximum(square - mean ** 2, 0.0))
+        total, squares = np.zeros(self.columns), np.zeros(self.columns)
+        for _, column, value in self._strips():
+            total, squares = _added(total, column, value), _added(squares, column, value ** 2)
+        deviation = np.sqrt(np.maximum(squares / self.rows - (total / self.rows) ** 2, 0.0))
         return np.where(deviation > 0, deviation, 1.0)
 
 
+def _added(sums: np.ndarray, at: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """``sums`` with ``values`` added at places ``at``, one after the other."""
+    return np.bincount(np.concatenate((np.arange(len(sums)), at)), np.concatenate((sums, values)), minlength=len(sums))
+
+
 def minimise(smooth: Callable[[np.ndarray], tuple[float, np.ndarray]], x: np.ndarray, penalty: np.ndarray,
              iterations: int, tolerance: float) -> np.ndarray:
     """Least ``smooth(x) + sum(penalty * |x|)``, ``smooth`` giving value and gradient.
@@ -98,7 +121,7 @@ def fit(counts: Sparse, label: np.ndarray, classes: int, penalty: float, iterati
     the columns as they are. Intercepts have no penalty.
     """
     deviation = counts.deviations()
-    scaled = Sparse(counts.row, counts.column, counts.value / deviation[counts.column], counts.rows, counts.columns)
+    scaled = replace(counts, scale=deviation)
     truth = label[:, None] == np.arange(classes)
     shape = (counts.columns + 1, classes)
 
