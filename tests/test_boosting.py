@@ -110,3 +110,15 @@ def test_one_class_alone_has_no_split(spark, label):
                                    settings=boosting.Settings(rounds=2))[0]
     assert all((t.feature < 0).all() for t in forest.trees)
     assert (np.sign(forest.margins(x)) == (1 if label else -1)).all()
+
+
+def test_a_table_of_some_hundred_thousand_rows_is_not_one_task(spark, monkeypatch):
+    """All rounds over all rows in one task took longer than any job for each level."""
+    def refused(*_):
+        raise AssertionError("one task for all rows")
+
+    monkeypatch.setattr(boosting.tasks, "train_here", refused)
+    rows = spark.range(500_000).select((F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 31).cast("double").alias("b"),
+                                       (F.col("id") % 97 > 50).cast("double").alias("label"), F.array(F.lit(1.0)).alias("weights"))
+    forest = boosting.fit_lockstep(rows, ["a", "b"], settings=boosting.Settings(rounds=2, depth=1))[0]
+    assert [(t.feature[0], t.threshold[0]) for t in forest.trees] == [(0, 50.0)] * 2

@@ -40,7 +40,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 BINS = 256
 BLOCK_ROWS = 8192
-SMALL_BYTES = 64 << 20   # blocks that one task can hold; then each model is one task
+SMALL_BYTES = 8 << 20    # blocks whose rounds one task does in a minute or two; then each model is one task
+DIRECT = 32              # parts whose histograms the driver adds without a stage between
 CUT_EVERY = 20
 
 
@@ -116,12 +117,12 @@ def fit_lockstep(df: DataFrame, names: list[str], weights: str = "weights", labe
     shared_dir(spark)  # checkpoints of margins go there
     blocks = packed.rdd.map(tasks.opened(len(names), models)).persist(StorageLevel.MEMORY_AND_DISK)
     out = [Forest(names, s) for _ in range(models)]
-    before = None
+    before, depth = None, 1 if blocks.getNumPartitions() <= DIRECT else 2
     for done in range(1, s.rounds + 1):
         trees = [Tree.empty(s.depth) for _ in range(models)]
         for level in range(s.depth):
             task = tasks.histograms(*tasks.parts(trees, "feature", "cut"), level, offsets, total)
-            tasks.next_level(trees, level, blocks.mapPartitions(task).treeReduce(np.add), cuts, s)
+            tasks.next_level(trees, level, blocks.mapPartitions(task).treeReduce(np.add, depth), cuts, s)
             if before is not None:
                 before.unpersist()
                 before = None
