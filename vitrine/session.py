@@ -92,3 +92,9 @@ def drop_tables(df: DataFrame, paths: list[str]) -> None:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
         _TABLES[_TABLES.index(path)] = ""
+
+
+def drop_replaced(old: DataFrame, new: DataFrame) -> None:
+    """Delete the stored table that ``old`` reads, once ``new`` is stored and reads it no more."""
+    folders = {file.rsplit("/", 2)[-2] for file in old.inputFiles()}
+    drop_tables(new, [path for path in stored_since(0) if path.rsplit("/", 1)[-1] in folders])
