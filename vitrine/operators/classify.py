@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.numeric import half_even
 from ..session import store_table
-from . import boosting, metrics, splits
+from . import boosting, grouped_forest, metrics, splits
 from .boosting import BoostedTrees
 from .features import assemble, model_frame
 
@@ -33,6 +33,10 @@ def random_forest(trees: int = 200, depth: int = 30, seed: int = 42) -> RandomFo
                                   weightCol="weight", labelCol="label", featuresCol="features", cacheNodeIds=True)
 
 
+def _fit(estimator: Estimator, rows: DataFrame):
+    return grouped_forest.fit(estimator, rows) if isinstance(estimator, RandomForestClassifier) else estimator.fit(rows)
+
+
 def boosted_trees(rounds: int = 200, depth: int = 5, step: float = 0.05) -> BoostedTrees:
     return BoostedTrees(rounds=rounds, depth=depth, step=step, weightCol="weight")
 
@@ -61,7 +65,7 @@ def _train(df: DataFrame, estimator: Estimator, weigh, preset: str, key: str,
     split = store_table(splits.stratified_split(frame, "label", key, test_size), "split")
     train = weigh(split.where("is_test = 0"), "label")
     test = split.where("is_test = 1").select(key, "label", "features")
-    model = PipelineModel([estimator.fit(train)])
+    model = PipelineModel([_fit(estimator, train)])
     trained = Trained(model, test, score(model, test))
     return trained, evaluate(trained.predictions), names
 
@@ -116,7 +120,7 @@ def cross_validated_f1(df: DataFrame, estimator: Estimator, folds: int = 5, bala
     weigh = splits.with_balanced_weight if balanced else splits.with_positive_weight
 
     def train(fold: int) -> DataFrame:
-        model = estimator.copy().fit(weigh(ready.where(F.col("fold") != fold), "label"))
+        model = _fit(estimator.copy(), weigh(ready.where(F.col("fold") != fold), "label"))
         return store_table(score(model, ready.where(F.col("fold") == fold)).select("y", "pred"), "held")
 
     pool = ThreadPool(min(parallelism, folds))
@@ -153,6 +157,10 @@ def run_full_classification(df: DataFrame, trees: int = 200, depth: int = 30, ro
 
 
 def save_model(model: PipelineModel, path: str) -> str:
+    """Save a model with all it needs; a model that still reads forests below ``path`` can't replace them."""
+    own = [kept for stage in model.stages for kept in getattr(stage, "paths", [])]
+    if any(kept.startswith(path.rstrip("/") + "/") for kept in own):
+        raise ValueError(f"the model reads its trees from {path}; save it to another path")
     model.write().overwrite().save(path)
     return path
 
