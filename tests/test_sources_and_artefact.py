@@ -13,6 +13,7 @@ from vitrine.operators import reports, rules, scoring
 from vitrine.operators.preparation import CataloguePreparation
 from vitrine.plans import flows
 from vitrine.session import scratch_path
+from vitrine.sources import store_json
 
 FRESH = """
 import sys
@@ -95,3 +96,22 @@ def test_sparse_baskets(spark):
         {1: (3, [0, 1], [1.0, 1.0]), 2: (3, [], []), 3: (3, [2], [1.0])}
     with pytest.raises(Exception):
         rules.basket_vectors(df, "g", "nothing")
+
+
+def test_a_filter_does_not_parse_documents_again(spark):
+    """The filter on accepted rows held 15 and 49 calls of the parser, one for each use of a field."""
+    stores = spark.createDataFrame([("https://a.example/", "A", "FR", "Food")], "url string, name string, pays string, cat string")
+    shop = '{"products":[{"id":1,"title":"x","variants":[{"price":"2.5","inventory_quantity":3,"available":true}]},null,{"id":2,"variants":[{"price":"?"}]}]}'
+    woo = '[{"id":7,"name":"y","price":"4","rating_count":2,"stock_quantity":1},{"id":8,"price":"many"}]'
+
+    def pages(*bodies):
+        return spark.createDataFrame([("A", i, body) for i, body in enumerate(bodies)], "store string, page int, body string")
+
+    for items, rows, bodies, kept, left in (
+            (store_json.shop_items, store_json.shop_rows, (shop, None, "{broken"), ["1"], 4),
+            (store_json.woo_items, store_json.woo_rows, (woo, "[]"), ["7"], 1)):
+        ready = rows(store_json.attach_store(items(pages(*bodies)), stores))
+        good = store_json.accepted(ready)
+        plan = good._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") <= 4 and not any("from_json" in line for line in plan.splitlines() if "Filter" in line)
+        assert [r["product_id"] for r in good.collect()] == kept and store_json.quarantined(ready).count() == left

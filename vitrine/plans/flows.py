@@ -15,7 +15,7 @@ from ..operators import classify, clean, clustering, features, reports, rules, s
 from .. import schemas
 from ..operators.dbscan import anomaly_summary, dbscan
 from ..operators.preparation import CataloguePreparation
-from ..session import cut_lineage, store_table
+from ..session import drop_replaced, store_table
 from ..sources.tables import union_sources, write_table
 
 
@@ -86,11 +86,12 @@ def ingest(sources: list[DataFrame], order: list[str], strict: bool = False,
            sink: str | None = None) -> DataFrame:
     """Union, dedup by url, ratings if absent, score, label; optional CSV sink.
 
-    Scoring needs several passes (facts, bounds, quantile), so the parsed and
-    deduplicated rows are stored once instead of parsing the documents again.
+    Rows with and without a url go separate ways, and scoring needs several passes (facts, bounds, quantile) over few
+    columns, so parsed rows and deduplicated rows are stored by column instead of parsing the documents again.
     """
-    merged = union_sources(*number_sources(sources))
-    unique = cut_lineage(clean.dedup_by_url(merged, ["source_no", *order], strict=strict))
+    merged = store_table(union_sources(*number_sources(sources)), "merged")
+    unique = store_table(clean.dedup_by_url(merged, ["source_no", *order], strict=strict), "unique")
+    drop_replaced(merged, unique)
     result = scoring.score_collected(unique)
     return rules.with_sink(result, sink)
 

@@ -65,6 +65,11 @@ def variant_available(variants: Column) -> Column:
     return F.coalesce(flag, F.lit(False)).cast("int")
 
 
+def _parsed_once(text: Column) -> Column:
+    """One row for each row; filters are not moved below an explode, so they don't parse the text again for each use."""
+    return F.explode(F.array(text))
+
+
 def explode_pages(pages: DataFrame, schema: str, items: str | None) -> DataFrame:
     """One row per item with its position, its text (``raw``) and what is wrong with it (``fault``, else NULL).
 
@@ -76,7 +81,7 @@ def explode_pages(pages: DataFrame, schema: str, items: str | None) -> DataFrame
     body = F.col("body") if items else F.concat(F.lit('{"items":'), F.col("body"), F.lit("}"))
     outer = F.from_json(body, f"struct<{name}:array<string>,damaged__:string>", {"columnNameOfCorruptRecord": "damaged__"})
     rest = [c for c in pages.columns if c != "body"]
-    opened = pages.select(*rest, "body", outer.alias("outer"))
+    opened = pages.select(*rest, "body", _parsed_once(outer).alias("outer"))
     broken = F.col("body").isNull() | F.col("outer.damaged__").isNotNull()
     whole = opened.where(broken).select(
         *rest, F.lit(0).alias("pos"), F.col("body").alias("raw"),
@@ -90,7 +95,7 @@ def _with_item(rows: DataFrame, schema: str) -> DataFrame:
     """Parse ``raw`` to ``item``; fields of another type than the schema's are a fault."""
     inner = f"{schema.strip()[:-1]},damaged__:string>"
     item = F.when(F.col("fault").isNull(), F.from_json("raw", inner, {"columnNameOfCorruptRecord": "damaged__"}))
-    parsed = rows.withColumn("item", item)
+    parsed = rows.select("*", _parsed_once(item).alias("item"))
     return parsed.withColumn("fault", F.coalesce("fault", F.when(F.col("item.damaged__").isNotNull(), "malformed item")))
 
 
@@ -102,7 +107,7 @@ def shop_documents(docs: DataFrame) -> DataFrame:
     """Single-product documents; an empty envelope gives no row, one that does not parse a row with a fault."""
     outer = F.from_json("body", "struct<product:string,damaged__:string>", {"columnNameOfCorruptRecord": "damaged__"})
     broken = F.col("body").isNull() | F.col("outer.damaged__").isNotNull()
-    rows = docs.withColumn("outer", outer).select(
+    rows = docs.select("*", _parsed_once(outer).alias("outer")).select(
         *[c for c in docs.columns if c != "body"], F.lit(0).alias("pos"),
         F.when(broken, F.col("body")).otherwise(F.col("outer.product")).alias("raw"),
         F.when(F.col("body").isNull(), "no document").when(broken, "unparsable document").alias("fault"))
