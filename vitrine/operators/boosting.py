@@ -1,8 +1,8 @@
 """Second-order boosted trees for a 0/1 label, grown level by level from gradient histograms.
 
 Features are cut at exact quantiles into at most 256 bins and rows are packed into blocks of bins. A level of a tree is
-one job: every block adds the gradients and hessians of its rows into a histogram for each open node, the histograms are
-summed as a tree, and the driver, which sees nothing but them, picks the splits. Leaf weights are -G / (H + l2) and a
+one job: every block adds the gradients and hessians of its rows into a histogram for the lighter child of each node above, the
+histograms are summed as a tree, the other child is the difference to the node above, and the driver, which sees nothing but them, picks the splits. Leaf weights are -G / (H + l2) and a
 split needs ``min_child_weight`` of hessian on both sides.
 
 Several models over the same rows grow in lockstep: a row has one training weight for each model (0 where it is held
@@ -40,6 +40,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no
 
 BINS = 256
 BLOCK_ROWS = 8192
+PART_ROWS = 65536        # rows of a partition at most, in blocks; a job for each level costs by its partitions
 SMALL_BYTES = 8 << 20    # blocks whose rounds one task does in a minute or two; then each model is one task
 DIRECT = 32              # parts whose histograms the driver adds without a stage between
 CUT_EVERY = 20
@@ -105,8 +106,8 @@ def fit_lockstep(df: DataFrame, names: list[str], weights: str = "weights", labe
                                    F.col(weights).alias("weights"), F.col(label).cast("double").alias("label")), "boosting")
     cuts = bin_cuts(rows, [f"f{i}" for i in range(len(names))], bins)
     sizes = np.array([max(len(c), 1) for c in cuts])
-    offsets, total = np.cumsum(sizes) - sizes, int(sizes.sum())
-    parts = max(1, -(-rows.count() // BLOCK_ROWS))
+    count = rows.count()
+    parts = max(1, min(-(-count // BLOCK_ROWS), max(DIRECT, -(-count // PART_ROWS))))
     packed = store_table(rows.repartition(parts).mapInArrow(tasks.pack(cuts, models, BLOCK_ROWS), "bins binary, weights binary, labels binary"), "blocks")
     sized = packed.agg(F.sum(F.octet_length("bins") + F.octet_length("weights") + F.octet_length("labels"))).first()[0] or 0
     if sized <= SMALL_BYTES:
@@ -119,10 +120,12 @@ def fit_lockstep(df: DataFrame, names: list[str], weights: str = "weights", labe
     out = [Forest(names, s) for _ in range(models)]
     before, depth = None, 1 if blocks.getNumPartitions() <= DIRECT else 2
     for done in range(1, s.rounds + 1):
-        trees = [Tree.empty(s.depth) for _ in range(models)]
+        trees, above = [Tree.empty(s.depth) for _ in range(models)], None
         for level in range(s.depth):
-            task = tasks.histograms(*tasks.parts(trees, "feature", "cut"), level, offsets, total)
-            tasks.next_level(trees, level, blocks.mapPartitions(task).treeReduce(np.add, depth), cuts, s)
+            sides = tasks.lighter(trees, level, above, sizes)
+            task = tasks.histograms(*tasks.parts(trees, "feature", "cut"), level, sizes, sides)
+            above = tasks.both_children(blocks.mapPartitions(task).treeReduce(np.add, depth), above, sides)
+            tasks.next_level(trees, level, above, cuts, s)
             if before is not None:
                 before.unpersist()
                 before = None

@@ -22,10 +22,11 @@ UNIT = float(1 << 20)
 
 def walk(feature: np.ndarray, cut: np.ndarray, columns: np.ndarray, levels: int) -> np.ndarray:
     """Node that each row (a column of ``columns``) has reached after ``levels`` splits at most."""
-    at, every = np.zeros(columns.shape[1], np.int64), np.arange(columns.shape[1])
+    size, flat = columns.shape[1], columns.reshape(-1)
+    at, every, feature = np.zeros(size, np.int64), np.arange(size), feature.astype(np.int64)
     for _ in range(levels):
         own = feature[at]
-        right = columns[np.maximum(own, 0), every] > cut[at]
+        right = flat[np.maximum(own, 0) * size + every] > cut[at]
         at = np.where(own >= 0, 2 * at + 1 + right, at)
     return at
 
@@ -62,9 +63,15 @@ class Tree:
         return walk(self.feature, cuts, columns, levels)
 
 
+def whole(batches: Iterator[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """A partition's rows as one batch, so that its blocks are full."""
+    kept = list(batches)
+    return [pa.concat_batches(kept)] if kept else []
+
+
 def pack(cuts: list[np.ndarray], models: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in whole(batches):
             for a in range(0, len(batch), rows):
                 part = batch.slice(a, rows)
                 columns = [np.searchsorted(c, part.column(f"f{i}").to_numpy(zero_copy_only=False)) for i, c in enumerate(cuts)]
@@ -91,23 +98,58 @@ def gradients(weight: np.ndarray, labels: np.ndarray, margin: np.ndarray) -> tup
     return np.rint(g * UNIT) / UNIT, np.rint(h * UNIT) / UNIT
 
 
-def histograms(feature: np.ndarray, cut: np.ndarray, level: int, offsets: np.ndarray, total: int):
-    """Sums of gradients and hessians in each bin of each open node of each model."""
+def histograms(feature: np.ndarray, cut: np.ndarray, level: int, sizes: np.ndarray, sides: np.ndarray | None):
+    """Sums of gradients and hessians in each bin of the root, or of one child of each node above: its left (0) or right (1)."""
+    offsets, total = np.cumsum(sizes) - sizes, int(sizes.sum())
+
     def run(blocks: Iterator[tuple]) -> Iterator[np.ndarray]:
-        first, nodes = (1 << level) - 1, 1 << level
-        out = np.zeros((len(feature), 2, nodes * total))
+        first, nodes = (1 << level) - 1, max(1, (1 << level) // 2)
+        out = np.zeros((len(feature), 2, nodes, total))
         for bins, weights, labels, margins in blocks:
             for m in range(len(feature)):
                 at = walk(feature[m], cut[m], bins, level) - first
                 used = np.flatnonzero((at >= 0) & (weights[m] > 0))
-                place = (bins[:, used] + offsets[:, None] + at[used] * total).ravel()
-                for i, sums in enumerate(gradients(weights[m], labels, margins[m])):
-                    out[m, i] += np.bincount(place, np.tile(sums[used], len(offsets)), minlength=nodes * total)
-        yield out.reshape(len(feature), 2, nodes, total)
+                place = at[used]
+                if level:
+                    place, child = place >> 1, place & 1
+                    own = child == sides[m][place]
+                    used, place = used[own], place[own]
+                sums = gradients(weights[m][used], labels[used], margins[m][used])
+                for f, size in enumerate(sizes):
+                    there = place * size + bins[f][used]
+                    for i in (0, 1):
+                        found = np.bincount(there, sums[i], minlength=nodes * size).reshape(nodes, size)
+                        out[m, i, :, offsets[f]:offsets[f] + size] += found
+        yield out
 
     return run
 
 
+def lighter(trees: list[Tree], level: int, above: np.ndarray | None, sizes: np.ndarray) -> np.ndarray | None:
+    """For each node of the level above the child with less hessian: only that one is summed up from rows."""
+    if above is None:
+        return None
+    first, starts, sides = (1 << (level - 1)) - 1, np.cumsum(sizes) - sizes, np.zeros((len(trees), 1 << (level - 1)), np.int64)
+    for m, tree in enumerate(trees):
+        for node in range(1 << (level - 1)):
+            feature = tree.feature[first + node]
+            if feature >= 0:
+                own = above[m, 1, node, starts[feature]:starts[feature] + sizes[feature]]
+                sides[m, node] = 2 * own[:tree.cut[first + node] + 1].sum() > own.sum()
+    return sides
+
+
+def both_children(built: np.ndarray, above: np.ndarray | None, sides: np.ndarray | None) -> np.ndarray:
+    """Histograms of all nodes of a level; the sums are exact, so the other child is the difference."""
+    if above is None:
+        return built
+    out = np.empty((*built.shape[:2], 2 * built.shape[2], built.shape[3]))
+    right = sides[:, None, :, None] == 1
+    out[:, :, 0::2] = np.where(right, above - built, built)
+    out[:, :, 1::2] = np.where(right, built, above - built)
+    return out
+
+
 def advanced(feature: np.ndarray, cut: np.ndarray, leaf: np.ndarray, depth: int):
     """Blocks with the margins after one more tree of each model."""
     def run(block: tuple) -> tuple:
@@ -170,7 +212,6 @@ def parts(trees: list[Tree], *names: str) -> list[np.ndarray]:
 def train_here(s: Settings, cuts: list[np.ndarray], models: int):
     """All rounds of one model over a group with all blocks of a small table; the same sums, hence the same trees."""
     sizes = np.array([max(len(c), 1) for c in cuts])
-    offsets, total = np.cumsum(sizes) - sizes, int(sizes.sum())
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         model, make, blocks = key[0].as_py(), opened(len(cuts), models), []
@@ -180,10 +221,12 @@ def train_here(s: Settings, cuts: list[np.ndarray], models: int):
             blocks.append((bins[:, used], weights[model:model + 1, used], labels[used], margins[model:model + 1, used]))
         trees = []
         for _ in range(s.rounds):
-            own = [Tree.empty(s.depth)]
+            own, above = [Tree.empty(s.depth)], None
             for level in range(s.depth):
-                sums = next(histograms(*parts(own, "feature", "cut"), level, offsets, total)(iter(blocks)))
-                next_level(own, level, sums, cuts, s)
+                sides = lighter(own, level, above, sizes)
+                built = next(histograms(*parts(own, "feature", "cut"), level, sizes, sides)(iter(blocks)))
+                above = both_children(built, above, sides)
+                next_level(own, level, above, cuts, s)
             blocks = [advanced(*parts(own, "feature", "cut", "leaf"), s.depth)(b) for b in blocks]
             trees += own
         kept = json.dumps([{k: v.tolist() for k, v in vars(tree).items()} for tree in trees])
